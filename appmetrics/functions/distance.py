@@ -7,12 +7,16 @@ from operator import add
 
 from pyspark.sql import Column, functions as F
 
-from appmetrics.functions.parsing import field
+from appmetrics.functions.parsing import field, quoted
+
+
+def _square_sql(features, center) -> str:
+    return " + ".join(f"pow({quoted(c)} - {float(v)!r}D, 2)" for c, v in zip(features, center))
 
 
 def squared_distance(features, center) -> Column:
     """Squared Euclidean distance of a row to a fixed point."""
-    return reduce(add, [(field(c) - F.lit(float(v))) * (field(c) - F.lit(float(v))) for c, v in zip(features, center)])
+    return F.expr(_square_sql(features, center))
 
 
 def euclidean(left, right) -> Column:
@@ -22,11 +26,8 @@ def euclidean(left, right) -> Column:
 
 def nearest(features, centers) -> Column:
     """Struct (distance, cluster) of the closest center; the lower index wins a tie."""
-    options = [
-        F.struct(squared_distance(features, c).alias("distance"), F.lit(i).alias("cluster"))
-        for i, c in enumerate(centers)
-    ]
-    return F.array_min(F.array(*options))
+    options = ", ".join(f"struct({_square_sql(features, c)} AS distance, {i} AS cluster)" for i, c in enumerate(centers))
+    return F.expr(f"array_min(array({options}))")
 
 
 def nearest_cluster(features, centers) -> Column:

@@ -8,22 +8,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from appmetrics.functions.parsing import field
-
-
-def row_key(columns, seed: int = 0) -> Column:
-    """Text key of a row: the seed and the columns joined with a separator; null is empty."""
-    parts = [F.coalesce(field(c).cast("string"), F.lit("")) for c in columns]
-    return F.concat_ws("|", F.lit(str(seed)), *parts)
+from appmetrics.functions.parsing import quoted
 
 
 def uniform_md5(columns, seed: int = 0) -> Column:
-    """Number in [0, 1) from the first 8 hex digits of an MD5; any SQL engine can repeat it."""
-    digits = F.substring(F.md5(row_key(columns, seed)), 1, 8)
-    return F.conv(digits, 16, 10).cast("bigint") / F.lit(4294967296.0)
+    """Number in [0, 1) from the first 8 hex digits of an MD5 of seed and columns, joined by ``|``.
+
+    Null counts as empty text. Any SQL engine can repeat it.
+    """
+    parts = ", ".join(f"coalesce(cast({quoted(c)} AS string), '')" for c in columns)
+    return F.expr(f"cast(conv(left(md5(concat_ws('|', '{seed}', {parts})), 8), 16, 10) AS bigint) / 4294967296.0D")
 
 
 def uniform_hash(columns, seed: int = 0) -> Column:
     """Number in (0, 1) from xxhash64: cheaper than MD5, same guarantees inside Spark."""
-    h = F.xxhash64(F.lit(seed), *[field(c) for c in columns])
-    return (F.shiftrightunsigned(h, 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+    parts = ", ".join(quoted(c) for c in columns)
+    return F.expr(f"(shiftrightunsigned(xxhash64({seed}, {parts}), 11) + 0.5D) / {float(1 << 53)!r}D")

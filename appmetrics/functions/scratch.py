@@ -29,6 +29,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and read it back.
+
+    For inputs that several jobs read: each later pass reads only its columns, parsing happens once, and
+    plans start short again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions import parsing as P
 from appmetrics.operators.columns import shared_columns
-from appmetrics.operators.profiling import _long
+from appmetrics.operators.profiling import long_aggregate
 from appmetrics.operators.ranking import exact_quantiles
 from appmetrics.schema import VARIES, float_columns, numeric_columns
 
@@ -34,22 +34,17 @@ def outlier_bounds(df: DataFrame, columns=None, reach: float = 1.5) -> dict[str,
     return bounds
 
 
-def _outside(c: str, bounds):
-    low, high = bounds[c]
-    value = P.field(c).cast("double")
-    return F.coalesce((value < F.lit(low)) | (value > F.lit(high)), F.lit(False))
-
-
 def outlier_report(df: DataFrame, columns=None, bounds=None) -> DataFrame:
     """(column, outliers, percent)."""
     bounds = bounds or outlier_bounds(df, columns)
-    report = _long(
-        df,
-        list(bounds),
-        {"outliers": lambda c: F.count_if(_outside(c, bounds)), "rows": lambda c: F.count(F.lit(1))},
-    )
-    percent = F.try_divide(F.col("outliers") * 100.0, F.col("rows"))
-    return report.select("column", "outliers", percent.alias("percent"))
+
+    def counts(c):
+        low, high = bounds[c]
+        v = f"cast({P.quoted(c)} AS double)"
+        return {"outliers": f"count_if({v} < {low!r}D OR {v} > {high!r}D)", "rows": "count(1)"}
+
+    report = long_aggregate(df, list(bounds), counts)
+    return report.selectExpr("column", "outliers", "try_divide(outliers * 100.0D, rows) AS percent")
 
 
 def drop_outliers(df: DataFrame, columns=None, allowed: int = 1, bounds=None) -> DataFrame:
@@ -57,8 +52,12 @@ def drop_outliers(df: DataFrame, columns=None, allowed: int = 1, bounds=None) ->
     bounds = bounds or outlier_bounds(df, columns)
     if not bounds:
         return df
-    flagged = sum((_outside(c, bounds).cast("int") for c in bounds), F.lit(0))
-    return df.filter(flagged <= allowed)
+    # One array names each column once; a sum of range tests would repeat every parsing expression that
+    # Catalyst folds into the filter, and generated code of that size is not compiled by the JVM.
+    tests = ", ".join(
+        f"struct(cast({P.quoted(c)} AS double) AS v, {low!r}D AS low, {high!r}D AS high)" for c, (low, high) in bounds.items()
+    )
+    return df.filter(f"size(filter(array({tests}), t -> t.v < t.low OR t.v > t.high)) <= {int(allowed)}")
 
 
 def surviving_rows(original: DataFrame, cleaned: DataFrame, columns=None) -> DataFrame:
@@ -71,7 +70,7 @@ def surviving_rows(original: DataFrame, cleaned: DataFrame, columns=None) -> Dat
 
 def drop_missing(df: DataFrame, columns=()) -> DataFrame:
     """Drop rows with null (or NaN) in a listed column; an empty list changes nothing."""
-    return df.na.drop(subset=list(columns)) if columns else df
+    return P.complete_rows(df, list(columns)) if columns else df
 
 
 
@@ -80,7 +79,7 @@ def _fill(df: DataFrame, values: dict) -> DataFrame:
     floats = set(float_columns(df))
     kinds = dict(df.dtypes)
     filled = {
-        c: F.when(P.missing(c, c in floats), F.lit(v).cast(kinds[c])).otherwise(P.field(c))
+        c: F.when(F.expr(P.missing_sql(c, c in floats)), F.lit(v).cast(kinds[c])).otherwise(P.field(c))
         for c, v in values.items()
         if v is not None
     }
@@ -89,9 +88,7 @@ def _fill(df: DataFrame, values: dict) -> DataFrame:
 
 def column_means(df: DataFrame, columns) -> dict:
     floats = set(float_columns(df))
-    row = df.agg(
-        *[F.avg(P.present_number(c, c in floats).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]
-    ).first()
+    row = df.agg(*[F.expr(f"avg({P.number_sql(c, c in floats)})") for c in columns]).first()
     return {c: row[i] for i, c in enumerate(columns)}
 
 

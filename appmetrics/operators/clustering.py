@@ -12,9 +12,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions.distance import nearest, nearest_cluster, nearest_squared_distance
-from appmetrics.functions.parsing import field, present_number
+from appmetrics.functions.parsing import complete_rows, field, quoted
 from appmetrics.operators.sampling import weighted_draw
-from appmetrics.schema import float_columns
 
 WEIGHT = "_weight"
 
@@ -26,8 +25,7 @@ def weighted_points(df: DataFrame, features, collapse: bool = True) -> DataFrame
     iterations then run over distinct points (a few dozen for ratings). Leave it off for features that
     are nearly unique, where the grouping would only add a shuffle.
     """
-    floats = set(float_columns(df))
-    rows = df.select(*[present_number(c, c in floats).cast("double").alias(c) for c in features]).na.drop()
+    rows = complete_rows(df.selectExpr(*[f"cast({quoted(c)} AS double) AS {quoted(c)}" for c in features]))
     if collapse:
         return rows.groupBy(*[field(c) for c in features]).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
     return rows.withColumn(WEIGHT, F.lit(1.0))

@@ -37,25 +37,27 @@ def text_flags(df: DataFrame, columns, null_as: bool | None = True) -> DataFrame
 def binary_indicators(df: DataFrame, columns=None) -> DataFrame:
     """Drop rows with any null, turn flags into 0/1, drop rows whose flag is neither."""
     flags = [c for c in (columns or FLAG_COLUMNS) if c in df.columns]
-    bits = df.na.drop().withColumns({c: P.flag_bit(c) for c in flags})
-    return bits.na.drop(subset=flags) if flags else bits
+    return P.complete_rows(df.withColumns({c: P.flag_bit(c) for c in flags}))
 
 
-def numeric_listings(df: DataFrame) -> DataFrame:
-    """Drop rows with any null, then make Installs, Rating and Size numeric and clean the version text.
+def numeric_fields(df: DataFrame) -> dict:
+    """Installs, Rating, Size (megabytes) as numbers and the cleaned version text.
 
-    A text Size is parsed with its unit; a numeric one counts bytes. The result is in megabytes.
+    A text Size is parsed with its unit; a numeric one counts bytes.
     """
     by_text = "Size" in text_columns(df)
     size = P.size_megabytes("Size") if by_text else P.field("Size").cast("double") / F.lit(1e6)
-    return df.na.drop().withColumns(
-        {
-            "Installs": P.count_from_text("Installs"),
-            "Rating": P.field("Rating").try_cast("double"),
-            "Size": size,
-            "Minimum Android": P.android_version_text("Minimum Android"),
-        }
-    )
+    return {
+        "Installs": P.count_from_text("Installs"),
+        "Rating": P.field("Rating").try_cast("double"),
+        "Size": size,
+        "Minimum Android": P.android_version_text("Minimum Android"),
+    }
+
+
+def numeric_listings(df: DataFrame) -> DataFrame:
+    """Drop rows with any null, then make the fields of ``numeric_fields`` numeric."""
+    return P.complete_rows(df).withColumns(numeric_fields(df))
 
 
 def with_rating_value(df: DataFrame, rating="Rating", count="Rating Count", out="Rating_Value") -> DataFrame:
@@ -100,7 +102,7 @@ def wide_to_long(df: DataFrame, columns, name="column", value="value", keep=())
 
 def with_year(df: DataFrame, column: str = "Last Updated") -> DataFrame:
     """Replace a listing date by its year; rows without a readable date go."""
-    return df.withColumn(column, P.listing_year(column)).na.drop(subset=[column])
+    return df.withColumn(column, P.listing_year(column)).filter(P.field(column).isNotNull())
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

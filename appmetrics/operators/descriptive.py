@@ -9,16 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from appmetrics.functions.parsing import field, size_bytes
+from appmetrics.functions.parsing import field, quoted, size_bytes
 from appmetrics.operators.shares import percent_of_total
 from appmetrics.schema import VARIES
 
 
 def _has(*columns: str):
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & field(c).isNotNull()
-    return condition
+    return F.expr(" AND ".join(f"{quoted(c)} IS NOT NULL" for c in columns))
 
 
 def kind_counts(df: DataFrame) -> DataFrame:

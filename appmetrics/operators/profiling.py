@@ -9,37 +9,30 @@ from appmetrics.operators.ranking import exact_quantiles
 from appmetrics.schema import float_columns, numeric_columns
 
 
-def _long(df: DataFrame, columns, fields: dict) -> DataFrame:
-    """One aggregate over all columns, then one row per column.
+def long_aggregate(df: DataFrame, columns, make) -> DataFrame:
+    """One aggregate over all columns, then one row (column, ...) per column.
 
-    ``fields`` maps an output name to a function of the column name that gives an aggregate.
+    ``make`` gives, for a column name, a dict of output names to SQL aggregates.
     """
-    one = df.agg(
-        *[F.struct(*[make(c).alias(out) for out, make in fields.items()]).alias(f"c{i}") for i, c in enumerate(columns)]
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), *[F.col(f"c{i}.{out}").alias(out) for out in fields])
-            for i, c in enumerate(columns)
-        ]
-    )
-    return one.select(F.inline(rows))
+    structs, rows = [], []
+    for i, c in enumerate(columns):
+        fields = make(c)
+        structs.append(F.expr("struct(" + ", ".join(f"{sql} AS {out}" for out, sql in fields.items()) + f") AS c{i}"))
+        rows.append(f"struct({P.text(c)} AS column, " + ", ".join(f"c{i}.{out} AS {out}" for out in fields) + ")")
+    return df.agg(*structs).selectExpr("inline(array(" + ", ".join(rows) + "))")
 
 
 def null_report(df: DataFrame, columns=None) -> DataFrame:
     """(column, missing, percent): nulls, and NaN in float columns, most first."""
-    columns = list(columns or df.columns)
     floats = set(float_columns(df))
-    report = _long(
+    report = long_aggregate(
         df,
-        columns,
-        {
-            "missing": lambda c: F.count_if(P.missing(c, c in floats)),
-            "rows": lambda c: F.count(F.lit(1)),
-        },
+        list(columns or df.columns),
+        lambda c: {"missing": f"count_if({P.missing_sql(c, c in floats)})", "rows": "count(1)"},
+    )
+    return report.selectExpr("column", "missing", "try_divide(missing * 100.0D, rows) AS percent").orderBy(
+        F.desc("missing"), "column"
     )
-    percent = F.try_divide(F.col("missing") * 100.0, F.col("rows"))
-    return report.select("column", "missing", percent.alias("percent")).orderBy(F.desc("missing"), "column")
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -48,22 +41,18 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 def summary_statistics(df: DataFrame, columns=None) -> DataFrame:
     """(column, count, mean, stddev, min, max) of the numeric columns, in one pass."""
-    columns = list(columns or numeric_columns(df))
 
-    def number(c):
-        return P.field(c).cast("double")
+    def measures(c):
+        number = f"cast({P.quoted(c)} AS double)"
+        return {
+            "count": f"count({P.quoted(c)})",
+            "mean": f"avg({number})",
+            "stddev": f"stddev_samp({number})",
+            "min": f"min({number})",
+            "max": f"max({number})",
+        }
 
-    return _long(
-        df,
-        columns,
-        {
-            "count": lambda c: F.count(P.field(c)),
-            "mean": lambda c: F.avg(number(c)),
-            "stddev": lambda c: F.stddev_samp(number(c)),
-            "min": lambda c: F.min(number(c)),
-            "max": lambda c: F.max(number(c)),
-        },
-    )
+    return long_aggregate(df, list(columns or numeric_columns(df)), measures)
 
 
 def value_frequencies(df: DataFrame, column: str) -> DataFrame:
@@ -89,8 +78,8 @@ def distinct_counts(df: DataFrame, columns, approximate: bool = False) -> DataFr
     """(column, distinct values). The exact form counts distinct (column, value) pairs in one shuffle."""
     columns = list(columns)
     if approximate:
-        return _long(df, columns, {"distinct_values": lambda c: F.approx_count_distinct(P.field(c))})
-    texts = df.select(*[P.field(c).cast("string").alias(c) for c in columns])
+        return long_aggregate(df, columns, lambda c: {"distinct_values": f"approx_count_distinct({P.quoted(c)})"})
+    texts = df.selectExpr(*[f"cast({P.quoted(c)} AS string) AS {P.quoted(c)}" for c in columns])
     pairs = texts.unpivot([], columns, "column", "value").filter(F.col("value").isNotNull()).distinct()
     return pairs.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
 
@@ -104,22 +93,20 @@ def box_statistics(df: DataFrame, columns=None, reach: float = 1.5) -> DataFrame
     columns = list(columns or numeric_columns(df))
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     floats = set(float_columns(df))
-    known = [c for c in columns if quartiles[c][0] is not None]
-    fields = {}
-
-    def value(c):
-        return P.present_number(c, c in floats).cast("double")
 
-    def fence(c, side):
-        q1, _, q3 = quartiles[c]
-        return F.lit(q1 - reach * (q3 - q1)) if side == "low" else F.lit(q3 + reach * (q3 - q1))
+    def figures(c):
+        q1, median, q3 = quartiles[c]
+        low, high, v = q1 - reach * (q3 - q1), q3 + reach * (q3 - q1), P.number_sql(c, c in floats)
+        return {
+            "q1": f"first({q1!r}D)",
+            "median": f"first({median!r}D)",
+            "q3": f"first({q3!r}D)",
+            "whisker_low": f"min(CASE WHEN {v} >= {low!r}D THEN {v} END)",
+            "whisker_high": f"max(CASE WHEN {v} <= {high!r}D THEN {v} END)",
+            "outside": f"count_if({v} < {low!r}D OR {v} > {high!r}D)",
+        }
 
-    for k, out in enumerate(("q1", "median", "q3")):
-        fields[out] = lambda c, k=k: F.first(F.lit(quartiles[c][k]))
-    fields["whisker_low"] = lambda c: F.min(F.when(value(c) >= fence(c, "low"), value(c)))
-    fields["whisker_high"] = lambda c: F.max(F.when(value(c) <= fence(c, "high"), value(c)))
-    fields["outside"] = lambda c: F.count_if((value(c) < fence(c, "low")) | (value(c) > fence(c, "high")))
-    return _long(df, known, fields)
+    return long_aggregate(df, [c for c in columns if quartiles[c][0] is not None], figures)
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
@@ -145,7 +132,7 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 10) -> DataFra
 
 def flag_counts(df: DataFrame, columns) -> DataFrame:
     """(column, value, count) of several flags from one shuffle."""
-    texts = df.select(*[P.field(c).cast("string").alias(c) for c in columns])
+    texts = df.selectExpr(*[f"cast({P.quoted(c)} AS string) AS {P.quoted(c)}" for c in columns])
     return texts.unpivot([], list(columns), "column", "value").groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("count")
     )

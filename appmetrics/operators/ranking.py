@@ -52,12 +52,13 @@ def exact_quantiles(df: DataFrame, columns, probabilities, accuracy: int = 10_00
     if not columns:
         return {}
     floats = set(float_columns(df))
-    values = df.select(*[P.present_number(c, c in floats).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    values = df.selectExpr(*[f"{P.number_sql(c, c in floats)} AS v{i}" for i, c in enumerate(columns)])
     margin = 2.0 / accuracy
     fences = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
+    points = "array(" + ", ".join(f"{p!r}D" for p in fences) + ")"
     sketch = values.agg(
-        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))],
-        *[F.percentile_approx(f"v{i}", fences, accuracy).alias(f"q{i}") for i in range(len(columns))],
+        *[F.expr(f"count(v{i}) AS n{i}") for i in range(len(columns))],
+        *[F.expr(f"percentile_approx(v{i}, {points}, {accuracy}) AS q{i}") for i in range(len(columns))],
     ).first()
 
     targets = {}
@@ -83,6 +84,10 @@ def exact_quantiles(df: DataFrame, columns, probabilities, accuracy: int = 10_00
     return result
 
 
+def _double(v: float) -> str:
+    return f"{v!r}D" if abs(v) != float("inf") else f"double('{'-' if v < 0 else ''}Infinity')"
+
+
 def _scaled(p: float) -> int:
     return int(round(p * 10**9))
 
@@ -93,27 +98,21 @@ def _values_at_ranks(values: DataFrame, targets) -> dict:
     marks = []
     for t, (i, j) in enumerate(keys):
         low, high, _ = targets[(i, j)]
-        v = F.col(f"v{i}")
         # Everything below the bracket shares one key (null), so it shrinks to one row per task.
-        marks.append(
-            F.when(
-                v <= F.lit(high),
-                F.struct(F.lit(t).alias("target"), F.when(v >= F.lit(low), v).alias("value")),
-            )
-        )
+        below_or_in = f"struct({t} AS target, CASE WHEN v{i} >= {_double(low)} THEN v{i} END AS value)"
+        marks.append(f"CASE WHEN v{i} <= {_double(high)} THEN {below_or_in} END")
     counted = (
-        values.select(F.explode(F.array_compact(F.array(*marks))).alias("m"))
-        .groupBy(F.col("m.target").alias("target"), F.col("m.value").alias("value"))
-        .agg(F.count("*").alias("rows"))
+        values.selectExpr("inline(array_compact(array(" + ", ".join(marks) + ")))")
+        .groupBy("target", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
     # A bracket holds about 4 / accuracy of the rows at most, as distinct values.
     order = Window.partitionBy("target").orderBy(F.asc_nulls_first("value"))
-    rank_of = F.create_map(*[x for t, k in enumerate(keys) for x in (F.lit(t), F.lit(int(targets[k][2])))])
+    ranks = "array(" + ", ".join(f"{int(targets[k][2])}L" for k in keys) + ")"
     upto = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
     hits = (
         counted.withColumn("upto", upto)
-        .filter((F.col("upto") >= rank_of[F.col("target")]) & (F.col("upto") - F.col("rows") < rank_of[F.col("target")]))
-        .filter(F.col("value").isNotNull())
+        .filter(f"value IS NOT NULL AND upto >= get({ranks}, target) AND upto - rows < get({ranks}, target)")
         .collect()
     )
     return {keys[r["target"]]: r["value"] for r in hits}

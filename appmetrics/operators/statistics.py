@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions.distributions import chi_square_tail, f_tail
-from appmetrics.functions.parsing import field, present_number
+from appmetrics.functions.parsing import complete_rows, field, number_sql, quoted, text
 from appmetrics.operators.ranking import average_ranks
 from appmetrics.schema import float_columns, numeric_columns
 
@@ -23,18 +23,15 @@ def pearson_matrix(df: DataFrame, columns=None) -> DataFrame:
     columns = list(columns or numeric_columns(df))
     floats = set(float_columns(df))
 
-    def number(c):
-        return present_number(c, c in floats).cast("double")
-
     pairs = list(combinations(columns, 2))
     if not pairs:
         raise ValueError("need two numeric columns")
-    one = df.agg(*[F.corr(number(a), number(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"p{i}").alias("value"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return one.select(F.inline(F.array(*rows)))
+    # NaN becomes null once, below the aggregate; corr skips pairs with a null.
+    values = df.selectExpr(*[f"{number_sql(c, c in floats)} AS v{i}" for i, c in enumerate(columns)])
+    at = {c: f"v{i}" for i, c in enumerate(columns)}
+    one = values.agg(*[F.expr(f"corr({at[a]}, {at[b]}) AS p{i}") for i, (a, b) in enumerate(pairs)])
+    rows = [f"struct({text(a)} AS column_a, {text(b)} AS column_b, p{i} AS value)" for i, (a, b) in enumerate(pairs)]
+    return one.selectExpr("inline(array(" + ", ".join(rows) + "))")
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -43,11 +40,7 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     Rows shrink to distinct value pairs with their counts before anything is ranked, so a value held
     by a third of the rows is one row here.
     """
-    floats = set(float_columns(df))
-    both = df.select(
-        present_number(a, a in floats).cast("double").alias("a"),
-        present_number(b, b in floats).cast("double").alias("b"),
-    ).na.drop()
+    both = complete_rows(df.select(field(a).cast("double").alias("a"), field(b).cast("double").alias("b")))
     pairs = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("w"))
     ranked = pairs.join(average_ranks(pairs, "a", "w", "ra"), "a").join(average_ranks(pairs, "b", "w", "rb"), "b")
     middle = (pairs.agg(F.sum("w").alias("n")).scalar() + 1) / 2.0
@@ -82,17 +75,12 @@ def contingency_wide(df: DataFrame, a: str, b: str) -> DataFrame:
 def _pair_cells(df: DataFrame, pairs, complete_case: bool) -> DataFrame:
     """(pair, a, b, o): observed counts of every column pair from one scan and one shuffle."""
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    texts = df.select(*[field(c).cast("string").alias(f"t{i}") for i, c in enumerate(columns)])
+    texts = df.selectExpr(*[f"cast({quoted(c)} AS string) AS t{i}" for i, c in enumerate(columns)])
     if complete_case:
-        texts = texts.na.drop()
-    at = {c: F.col(f"t{i}") for i, c in enumerate(columns)}
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("pair"), at[a].alias("a"), at[b].alias("b"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    exploded = texts.select(F.inline(entries)).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+        texts = complete_rows(texts)
+    at = {c: f"t{i}" for i, c in enumerate(columns)}
+    entries = ", ".join(f"struct({i} AS pair, {at[a]} AS a, {at[b]} AS b)" for i, (a, b) in enumerate(pairs))
+    exploded = texts.selectExpr(f"inline(array({entries}))").filter("a IS NOT NULL AND b IS NOT NULL")
     return exploded.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).cast("double").alias("o"))
 
 
@@ -108,48 +96,43 @@ def _chi_square_parts(cells: DataFrame) -> DataFrame:
     parts = (
         cells.join(rows, ["pair", "a"])
         .join(cols, ["pair", "b"])
-        .select(
-            "pair",
-            F.col("o").alias("o"),
-            (F.col("o") * F.col("o") / F.col("ra") / F.col("cb")).alias("fit"),
-            F.lit(None).cast("double").alias("row_total"),
-            F.lit(None).cast("double").alias("column_total"),
-            # row * column / o, to get |o - e| of any one cell of a 2 x 2 table
-            F.struct(F.col("o").alias("o"), (F.col("ra") * F.col("cb")).alias("margins")).alias("cell"),
-        )
+        # (o, row * column) of any one cell gives |o - e| of a 2 x 2 table
+        .selectExpr("pair", "o", "o * o / ra / cb AS fit", "null AS row_total", "null AS column_total", "struct(o, ra * cb AS margins) AS cell")
     )
-    nothing = F.lit(None).cast("double")
-    no_cell = F.lit(None).cast("struct<o:double,margins:double>")
-    row_marks = rows.select("pair", nothing.alias("o"), nothing.alias("fit"), F.col("ra").alias("row_total"), nothing.alias("column_total"), no_cell.alias("cell"))
-    col_marks = cols.select("pair", nothing.alias("o"), nothing.alias("fit"), nothing.alias("row_total"), F.col("cb").alias("column_total"), no_cell.alias("cell"))
+    rest = "cast(null AS struct<o:double,margins:double>) AS cell"
+    row_marks = rows.selectExpr("pair", "null AS o", "null AS fit", "ra AS row_total", "null AS column_total", rest)
+    col_marks = cols.selectExpr("pair", "null AS o", "null AS fit", "null AS row_total", "cb AS column_total", rest)
     sums = (
-        parts.unionByName(row_marks)
-        .unionByName(col_marks)
+        parts.union(row_marks)
+        .union(col_marks)
         .groupBy("pair")
         .agg(
-            F.sum("o").alias("n"),
-            F.sum("fit").alias("fit"),
-            F.count("row_total").alias("r"),
-            F.count("column_total").alias("k"),
-            F.sum(1 / F.col("row_total")).alias("inverse_rows"),
-            F.sum(1 / F.col("column_total")).alias("inverse_columns"),
-            F.max("cell").alias("cell"),
+            F.expr("sum(o) AS n"),
+            F.expr("sum(fit) AS fit"),
+            F.expr("count(row_total) AS r"),
+            F.expr("count(column_total) AS k"),
+            F.expr("sum(1 / row_total) AS inverse_rows"),
+            F.expr("sum(1 / column_total) AS inverse_columns"),
+            F.expr("max(cell) AS cell"),
         )
     )
-    n = F.col("n")
-    deviation = F.abs(F.col("cell.o") - F.col("cell.margins") / n)
-    corrected = deviation - F.least(F.lit(0.5), deviation)
-    plain = F.greatest(n * (F.col("fit") - 1), F.lit(0.0))
-    square = n * corrected * corrected * F.col("inverse_rows") * F.col("inverse_columns")
-    chi = F.when((F.col("r") == 2) & (F.col("k") == 2), square).otherwise(plain)
-    return sums.select("pair", "n", "r", "k", chi.alias("chi_square"))
+    corrected = sums.withColumn("gap", F.expr("abs(cell.o - cell.margins / n)")).withColumn("gap", F.expr("gap - least(0.5D, gap)"))
+    return corrected.selectExpr(
+        "pair",
+        "n",
+        "r",
+        "k",
+        """CASE WHEN r = 2 AND k = 2 THEN n * gap * gap * inverse_rows * inverse_columns
+           ELSE greatest(n * (fit - 1), 0.0D) END AS chi_square""",
+    )
 
 
 def _bias_corrected_v(parts: DataFrame) -> DataFrame:
-    n, r, k = F.col("n"), F.col("r").cast("double"), F.col("k").cast("double")
-    phi = F.greatest(F.lit(0.0), F.col("chi_square") / n - (k - 1) * (r - 1) / (n - 1))
-    rows, cols = r - (r - 1) * (r - 1) / (n - 1), k - (k - 1) * (k - 1) / (n - 1)
-    return parts.withColumn("value", F.sqrt(F.try_divide(phi, F.least(rows - 1, cols - 1))))
+    return (
+        parts.withColumn("phi", F.expr("greatest(0.0D, chi_square / n - (k - 1) * (r - 1) / (n - 1))"))
+        .withColumn("side", F.expr("least(r - (r - 1) * (r - 1) / (n - 1) - 1, k - (k - 1) * (k - 1) / (n - 1) - 1)"))
+        .withColumn("value", F.expr("sqrt(try_divide(phi, side))"))
+    )
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -178,10 +161,9 @@ def association_matrix(df: DataFrame, columns, complete_case: bool = True) -> Da
     if not pairs:
         raise ValueError("need two columns")
     found = _bias_corrected_v(_chi_square_parts(_pair_cells(df, pairs, complete_case)))
-    names = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in pairs])
-    named = found.select(F.get(names, F.col("pair")).alias("ab"), "value")
-    upper = named.select(F.get("ab", F.lit(0)).alias("column_a"), F.get("ab", F.lit(1)).alias("column_b"), "value")
-    lower = upper.select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "value")
+    names = ", ".join(f"struct({text(a)} AS a, {text(b)} AS b)" for a, b in pairs)
+    upper = found.selectExpr(f"get(array({names}), pair) AS name", "value").selectExpr("name.a AS column_a", "name.b AS column_b", "value")
+    lower = upper.selectExpr("column_b AS column_a", "column_a AS column_b", "value")
     diagonal = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "column_a string, column_b string, value double")
     return upper.unionByName(lower).unionByName(diagonal)
 
@@ -191,8 +173,7 @@ def association_matrix(df: DataFrame, columns, complete_case: bool = True) -> Da
 
 def anova(df: DataFrame, category: str, value: str, categories=()) -> DataFrame:
     """One row: groups, n, sums of squares between and within, F. Null groups and values stay out."""
-    floats = set(float_columns(df))
-    rows = df.select(field(category).alias("g"), present_number(value, value in floats).cast("double").alias("v")).na.drop()
+    rows = complete_rows(df.select(field(category).alias("g"), field(value).cast("double").alias("v")))
     if categories:
         rows = rows.filter(F.col("g").isin(*categories))
     groups = rows.groupBy("g").agg(

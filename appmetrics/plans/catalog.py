@@ -39,7 +39,7 @@ class Catalog:
 
 def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
     """Doubles at a fixed scale (and never -0.0), so that engines can be compared exactly."""
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) + F.lit(0.0) for c in columns})
+    return df.withColumns({c: F.expr(f"round(`{c}`, {digits}) + 0.0D") for c in columns})
 
 
 def listing_sql(body: str, *more: str) -> str:

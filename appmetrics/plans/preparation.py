@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions import parsing as P
 from appmetrics.functions.parsing import field
+from appmetrics.functions.scratch import stage
 from appmetrics.operators import cleaning as C, columns as K
 from appmetrics.operators.features import assemble, encode_columns, frequency_encode, label_encode
 from appmetrics.schema import text_columns
@@ -32,18 +33,23 @@ MODE_FILLED = ["Released"]
 def clean_listings(df: DataFrame, comma_free: bool = False) -> DataFrame:
     """Typed, sized, without outlier rows, without missing values.
 
-    Three small jobs find the constants (quartiles, means, mode); the result is one lazy plan with them.
+    The parsed table is written once; small jobs over its numeric columns find the constants (quartiles,
+    means, mode), and the result is one lazy plan with them.
     """
-    sized = C.with_size_bytes(K.drop_columns(type_listings(df), *UNUSED))
+    sized = stage(C.with_size_bytes(K.drop_columns(type_listings(df), *UNUSED)), "sized")
     kept = C.drop_missing(C.drop_outliers(sized), REQUIRED)
     filled = C.fill_mode(C.fill_mean(kept, MEAN_FILLED), MODE_FILLED)
     return without_commas(filled) if comma_free else filled
 
 
 def diagnostic_listings(df: DataFrame) -> DataFrame:
-    """Complete rows with numeric Installs, Rating, Size (megabytes) and 0/1 flags."""
-    sized = C.with_size_bytes(K.drop_columns(df, *[c for c in UNUSED if c != "Scraped Time"]))
-    return K.binary_indicators(K.numeric_listings(sized))
+    """Complete rows with numeric Installs, Rating, Size (megabytes) and 0/1 flags.
+
+    Parsing gives null where there is nothing to parse, so one completeness filter after it does the work
+    of one before and one after.
+    """
+    kept = C.with_fixed_size(K.drop_columns(df, *[c for c in UNUSED if c != "Scraped Time"]))
+    return K.binary_indicators(kept.withColumns(K.numeric_fields(kept)))
 
 
 # ---- model inputs ----
@@ -207,7 +213,7 @@ def kmeans_listings(df: DataFrame, rating_value: bool = False) -> DataFrame:
 
 def lloyd_listings(df: DataFrame) -> DataFrame:
     """Rating, Maximum Installs and Size (bytes) where all three are known."""
-    return C.with_size_bytes(df).select("Rating", "Maximum Installs", "Size").na.drop()
+    return P.complete_rows(C.with_size_bytes(df).select("Rating", "Maximum Installs", "Size"))
 
 
 def flag_listings(df: DataFrame, columns=("Ad Supported", "In App Purchases", "Free")) -> DataFrame:

@@ -405,6 +405,18 @@ def rows_surviving_outlier_removal(spark, sf_dir):
     return C.surviving_rows(df, C.drop_outliers(df, ["Price"], allowed=0).select("App Id", "Price"))
 
 
+@CATALOG.add(
+    "CLN-3",
+    sql=f"""WITH squared AS (SELECT event_id, value, value * value AS square FROM events), {_bounds_cte(['value', 'square'], 'squared')}
+    SELECT event_id FROM squared, bounds
+    WHERE CAST({_flag('value', 0)} AS INTEGER) + CAST({_flag('square', 1)} AS INTEGER) <= 1""",
+)
+def events_outside_once_at_most(spark, sf_dir):
+    value = F.col("value")
+    events = driver_table(spark, sf_dir, "events").select("event_id", "value", (value * value).alias("square"))
+    return C.drop_outliers(events, ["value", "square"]).select("event_id")
+
+
 # ---- the whole cleaning chain ----
 
 _KEPT_NUMBERS = ["Rating", "Rating Count", "Installs", "Minimum Installs", "Maximum Installs", "Price", "Size"]
@@ -428,7 +440,7 @@ _CLEAN_SQL = listing_sql(
 
 @CATALOG.add("CLN-13", "CLN-3", "CLN-6", "PRJ-5", sql=_CLEAN_SQL)
 def cleaned_listings(spark, sf_dir):
-    return rounded(clean_listings(listings(spark, sf_dir)), "Rating")
+    return rounded(clean_listings(listings(spark, sf_dir, busy=True)), "Rating")
 
 
 # ---- files ----

@@ -7,87 +7,75 @@ cannot drop an inner join, so the column list is explicit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+_PART = {
+    "App Name": "p_name",
+    "Category": "p_brand",
+    "Size": """CASE WHEN p_size % 10 = 0 THEN 'Varies with device' WHEN p_size % 10 = 1 THEN null
+        WHEN p_size % 10 = 2 THEN concat(p_size, 'k') WHEN p_size % 10 = 3 THEN '1.2G'
+        WHEN p_size % 10 = 4 THEN '1,018M' ELSE concat(p_size, '.5M') END""",
+    "Minimum Android": """CASE WHEN p_size % 9 = 0 THEN 'Varies with device'
+        ELSE concat(1 + p_size % 8, '.', p_size % 4, ' and up') END""",
+    "Editors Choice": "p_size % 20 = 0",
+}
+_ORDERS = {
+    "Installs": """CASE WHEN o_totalprice < 10000 THEN '1,000+' WHEN o_totalprice < 100000 THEN '10,000+'
+        WHEN o_totalprice < 300000 THEN '1,000,000+' WHEN l_orderkey % 17 = 0 THEN null ELSE '5,000,000,000+' END""",
+    "Minimum Installs": "cast(floor(o_totalprice) AS bigint)",
+    "Maximum Installs": "CASE WHEN l_partkey % 19 != 0 THEN cast(floor(o_totalprice * 2) AS bigint) END",
+    "Released": "CASE WHEN l_orderkey % 23 != 0 THEN date_format(o_orderdate, 'MMM d, yyyy') END",
+    "Content Rating": "o_orderpriority",
+}
+_LINE = {
+    "App Id": "concat_ws('-', 'app', l_orderkey, l_partkey, l_suppkey, l_linenumber)",
+    "Rating": "CASE WHEN l_orderkey % 13 != 0 THEN cast(cast(round(l_tax * 100) AS int) AS double) * 5 / 8 END",
+    "Rating Count": "cast(floor(l_quantity) AS bigint) * 20",
+    "Free": "l_linestatus = 'O'",
+    "Price": "CASE WHEN l_linestatus = 'O' THEN 0.0D ELSE l_extendedprice END",
+    "Currency": "CASE WHEN l_orderkey % 50 = 0 THEN 'EUR' ELSE 'USD' END",
+    "Developer Id": "concat('dev-', l_suppkey)",
+    "Developer Website": "CASE WHEN l_suppkey % 2 != 0 THEN concat('http://d', l_suppkey) END",
+    "Developer Email": "CASE WHEN l_suppkey % 11 != 0 THEN concat('d', l_suppkey, '@x') END",
+    "Last Updated": "date_format(l_shipdate, 'MMM d, yyyy')",
+    "Privacy Policy": "CASE WHEN l_suppkey % 3 != 0 THEN concat('http://p', l_suppkey) END",
+    "Ad Supported": """CASE WHEN l_partkey % 29 = 0 THEN null WHEN l_returnflag = 'N' THEN 'True' ELSE 'False' END""",
+    "In App Purchases": "CASE WHEN l_quantity > 25 THEN 'True' ELSE 'False' END",
+    "Scraped Time": "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')",
+}
 
-from appmetrics.schema import DATE_FORMAT, VARIES
 
-
-def _part() -> dict[str, Column]:
-    size = F.col("p_size")
-    tens = size % 10
-    return {
-        "App Name": F.col("p_name"),
-        "Category": F.col("p_brand"),
-        "Size": F.when(tens == 0, VARIES)
-        .when(tens == 1, F.lit(None).cast("string"))
-        .when(tens == 2, F.concat(size.cast("string"), F.lit("k")))
-        .when(tens == 3, "1.2G")
-        .when(tens == 4, "1,018M")
-        .otherwise(F.concat(size.cast("string"), F.lit(".5M"))),
-        "Minimum Android": F.when(size % 9 == 0, VARIES).otherwise(
-            F.concat((size % 8 + 1).cast("string"), F.lit("."), (size % 4).cast("string"), F.lit(" and up"))
-        ),
-        "Editors Choice": size % 20 == 0,
-    }
-
-
-def _orders() -> dict[str, Column]:
-    total = F.col("o_totalprice")
-    return {
-        "Installs": F.when(total < 10000, "1,000+")
-        .when(total < 100000, "10,000+")
-        .when(total < 300000, "1,000,000+")
-        .when(F.col("l_orderkey") % 17 == 0, F.lit(None).cast("string"))
-        .otherwise("5,000,000,000+"),
-        "Minimum Installs": F.floor(total).cast("bigint"),
-        "Maximum Installs": F.when(F.col("l_partkey") % 19 != 0, F.floor(total * 2).cast("bigint")),
-        "Released": F.when(F.col("l_orderkey") % 23 != 0, F.date_format("o_orderdate", DATE_FORMAT)),
-        "Content Rating": F.col("o_orderpriority"),
-    }
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _line() -> dict[str, Column]:
-    supplier = F.col("l_suppkey")
-    supplier_text = supplier.cast("string")
-    return {
-        "App Id": F.concat_ws("-", F.lit("app"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
-        "Rating": F.when(
-            F.col("l_orderkey") % 13 != 0, F.round(F.col("l_tax") * 100).cast("int").cast("double") * 5 / 8
-        ),
-        "Rating Count": F.floor("l_quantity").cast("bigint") * 20,
-        "Free": F.col("l_linestatus") == "O",
-        "Price": F.when(F.col("l_linestatus") == "O", 0.0).otherwise(F.col("l_extendedprice")),
-        "Currency": F.when(F.col("l_orderkey") % 50 == 0, "EUR").otherwise("USD"),
-        "Developer Id": F.concat(F.lit("dev-"), supplier_text),
-        "Developer Website": F.when(supplier % 2 != 0, F.concat(F.lit("http://d"), supplier_text)),
-        "Developer Email": F.when(supplier % 11 != 0, F.concat(F.lit("d"), supplier_text, F.lit("@x"))),
-        "Last Updated": F.date_format("l_shipdate", DATE_FORMAT),
-        "Privacy Policy": F.when(supplier % 3 != 0, F.concat(F.lit("http://p"), supplier_text)),
-        "Ad Supported": F.when(F.col("l_partkey") % 29 == 0, F.lit(None).cast("string"))
-        .when(F.col("l_returnflag") == "N", "True")
-        .otherwise("False"),
-        "In App Purchases": F.when(F.col("l_quantity") > 25, "True").otherwise("False"),
-        "Scraped Time": F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"),
-    }
+def spread(df: DataFrame) -> DataFrame:
+    """Give a plain file scan at least one partition per core.
 
+    Only a scan with fewer partitions than cores is redistributed (one small file with one row group);
+    large tables have many partitions already and pass through.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
-def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
+def listings(spark: SparkSession, sf_dir: str, *columns: str, busy: bool = False) -> DataFrame:
+    """The listing view restricted to ``columns`` (all of them if none is named).
 
-def listings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The listing view restricted to ``columns`` (all of them if none is named)."""
-    by_part, by_order, by_line = _part(), _orders(), _line()
-    known = {**by_part, **by_order, **by_line}
+    ``busy`` announces much work per row, for which a scan with too few partitions is spread first.
+    """
+    known = {**_PART, **_ORDERS, **_LINE}
     wanted = list(columns) or list(known)
     df = driver_table(spark, sf_dir, "lineitem")
-    if any(c in by_part for c in wanted):
+    if busy:
+        df = spread(df)
+    if any(c in _PART for c in wanted):
         part = driver_table(spark, sf_dir, "part")
         df = df.join(part, df["l_partkey"] == part["p_partkey"])
-    if any(c in by_order for c in wanted):
+    if any(c in _ORDERS for c in wanted):
         orders = driver_table(spark, sf_dir, "orders")
         df = df.join(orders, df["l_orderkey"] == orders["o_orderkey"])
-    return df.select(*[known[c].alias(c) for c in wanted])
+    return df.selectExpr(*[f"{known[c]} AS `{c}`" for c in wanted])
 
 
 # The same view for an SQL engine that has the driver tables registered.
