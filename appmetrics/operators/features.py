@@ -151,10 +151,13 @@ def decode_columns(df: DataFrame, columns, indexes: dict[str, DataFrame], suffix
     return out
 
 
-def assemble(df: DataFrame, features, label: str | None = None, invalid: str = "error", out: str = "features") -> DataFrame:
-    """Feature vector, next to the label if one is named. ``invalid`` is ``error``, ``skip`` or ``keep``."""
+def assemble(df: DataFrame, features, label: str | None = None, invalid: str = "error", out: str = "features", keep=()) -> DataFrame:
+    """Feature vector; with a label, only the vector, the label and the ``keep`` columns stay.
+
+    ``invalid`` is ``error``, ``skip`` or ``keep``.
+    """
     rows = VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=invalid).transform(df)
-    return rows if label is None else rows.select(out, field(label))
+    return rows if label is None else rows.select(out, field(label), *[field(c) for c in keep])
 
 
 def scale_columns(df: DataFrame, columns) -> DataFrame:

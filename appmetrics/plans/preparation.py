@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions import parsing as P
+from appmetrics.functions.hashing import uniform_hash
 from appmetrics.functions.parsing import field
 from appmetrics.functions.scratch import stage
 from appmetrics.operators import cleaning as C, columns as K
@@ -114,12 +115,21 @@ def model_rows(df: DataFrame, label: str, min_rating: float = 1.0, min_ratings:
     return encode_columns(K.with_year(kept, "Last Updated"), MODEL_ENCODED)
 
 
-def model_vectors(df: DataFrame, label: str, floor_label: bool = False) -> DataFrame:
-    """(features, label) for predicting ``label``; ``floor_label`` turns ratings into whole-star classes."""
+# Uniform number per row, for splitting after the other columns have become a vector.
+DRAW = "draw"
+
+
+def model_vectors(df: DataFrame, label: str, floor_label: bool = False, seed: int = 0) -> DataFrame:
+    """(features, label, draw) for predicting ``label``; ``floor_label`` turns ratings into whole-star classes."""
     rows = model_rows(df, label)
     if floor_label:
         rows = K.floor_columns(rows, label)
-    return assemble(rows, model_columns(label), label)
+    drawn = rows.withColumn(DRAW, uniform_hash(rows.columns, seed))
+    return assemble(drawn, model_columns(label), label, keep=[DRAW])
+
+
+def split_by_draw(df: DataFrame, train: float) -> tuple[DataFrame, DataFrame]:
+    return df.filter(F.col(DRAW) < train), df.filter(F.col(DRAW) >= train)
 
 
 # Columns left out of, and columns label-encoded for, each all-column linear model.
@@ -183,12 +193,13 @@ LINEAR_INPUTS = {
 }
 
 
-def encoded_vectors(cleaned: DataFrame, label: str) -> DataFrame:
-    """(features, label) from all remaining columns of cleaned listings; incomplete rows are skipped."""
+def encoded_vectors(cleaned: DataFrame, label: str, seed: int = 0) -> DataFrame:
+    """(features, label, draw) from all remaining columns of cleaned listings; incomplete rows are skipped."""
     plan = LINEAR_INPUTS[label]
-    encoded = label_encode(K.drop_columns(cleaned, *plan["drop"]), plan["encode"])
-    ordered = K.label_last(encoded, label)
-    return assemble(ordered, K.feature_names(ordered, label), label, invalid="skip")
+    kept = K.drop_columns(cleaned, *plan["drop"])
+    ordered = K.label_last(label_encode(kept, plan["encode"]), label)
+    drawn = ordered.withColumn(DRAW, uniform_hash(ordered.columns, seed))
+    return assemble(drawn, K.feature_names(ordered, label), label, invalid="skip", keep=[DRAW])
 
 
 def labelled_listings(df: DataFrame, label: str = "Rating", drop=("App Name", "App Id", "Price", "Size")) -> DataFrame:
