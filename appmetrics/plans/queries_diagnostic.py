@@ -54,9 +54,9 @@ def installs_share_by_category(spark, sf_dir):
     return rounded(percent_of_total(totals, "total"), "percent")
 
 
-@CATALOG.add("AGG-19", sql=_sql('SELECT round(avg("Installs"), 4) AS mean FROM complete'))
+@CATALOG.add("AGG-19", sql=_sql('SELECT round(avg("Installs"), 2) AS mean FROM complete'))
 def mean_installs(spark, sf_dir):
-    return rounded(G.overall_mean(_complete(spark, sf_dir), "Installs"), "mean")
+    return rounded(G.overall_mean(_complete(spark, sf_dir), "Installs"), "mean", digits=2)
 
 
 @CATALOG.add("AGG-20", sql=_sql('SELECT "Ad Supported", CAST(sum("Installs") AS DOUBLE) AS total FROM complete GROUP BY 1'))
@@ -185,18 +185,18 @@ def rating_value_against_installs(spark, sf_dir):
 # ---- best groups inside each group ----
 
 
-def _within_sql(outer: str, inner: str, value: str, outer_name: str, inner_name: str, where: str = "TRUE") -> str:
+def _within_sql(outer: str, inner: str, value: str, outer_name: str, inner_name: str, where: str = "TRUE", digits: int = 4) -> str:
     return _sql(
-        f"""SELECT "{outer_name}", "{inner_name}", round(mean, 4) AS mean, place FROM (
+        f"""SELECT "{outer_name}", "{inner_name}", round(mean, {digits}) AS mean, place FROM (
           SELECT *, CAST(row_number() OVER (PARTITION BY "{outer_name}" ORDER BY mean DESC, "{inner_name}") AS INTEGER) AS place
           FROM (SELECT {outer} AS "{outer_name}", {inner} AS "{inner_name}", avg({value}) AS mean
                 FROM complete WHERE {where} GROUP BY 1, 2)) WHERE place <= 10"""
     )
 
 
-@CATALOG.add("WIN-1", "FLT-9", sql=_within_sql('"Category"', '"Size"', '"Installs"', "Category", "Size"))
+@CATALOG.add("WIN-1", "FLT-9", sql=_within_sql('"Category"', '"Size"', '"Installs"', "Category", "Size", digits=2))
 def best_sizes_within_category(spark, sf_dir):
-    return rounded(G.best_groups_within(_complete(spark, sf_dir), "Category", "Size", "Installs"), "mean")
+    return rounded(G.best_groups_within(_complete(spark, sf_dir), "Category", "Size", "Installs"), "mean", digits=2)
 
 
 @CATALOG.add("WIN-1", sql=_within_sql(_RELEASED, _YEAR, _VALUE, "Released", "Last Updated", '"Rating" <> 0'))
