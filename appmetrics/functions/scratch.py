@@ -1,4 +1,4 @@
-"""Where jobs cut lineage: the reliable checkpoint folder of the session."""
+"""Where jobs cut lineage: tables in the shared checkpoint folder of the session."""
 
 from __future__ import annotations
 
@@ -21,19 +21,11 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="appmetrics-")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: written to the shared folder, so lost executors lose nothing."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back.
 
-    For inputs that several jobs read: each later pass reads only its columns, parsing happens once, and
-    plans start short again.
+    This is how jobs cut lineage: the rows are computed once (a checkpoint computes them twice), lost
+    executors lose nothing, each later pass reads only its columns, and plans start short again.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

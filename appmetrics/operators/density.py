@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from appmetrics.functions.distance import euclidean_bits, jaccard_bits
 from appmetrics.functions.parsing import field
-from appmetrics.functions.scratch import materialize
+from appmetrics.functions.scratch import stage
 
 # More flags than this would make the pattern table (2^d rows, 4^d neighbour tests) too large.
 MAX_FLAGS = 12
@@ -50,17 +50,18 @@ def pattern_clusters(df: DataFrame, columns, eps: float = 0.5, min_points: int =
     A border pattern joins the lowest cluster that reaches it.
     """
     columns = list(columns)
-    patterns = materialize(_patterns(df, columns))
+    patterns = stage(_patterns(df, columns), "patterns")
     right = patterns.select(F.col("mask").alias("other"), F.col("rows").alias("other_rows"))
-    near = materialize(
-        _lattice(patterns, len(columns), right).filter(_DISTANCES[metric]("mask", "other") <= F.lit(eps))
+    near = stage(
+        _lattice(patterns, len(columns), right).filter(_DISTANCES[metric]("mask", "other") <= F.lit(eps)), "neighbours"
     )
     density = near.groupBy("mask", "rows").agg((F.sum("other_rows") >= min_points).alias("core"))
     core = density.filter("core").select("mask")
-    links = materialize(
+    links = stage(
         near.join(core, "mask", "left_semi")
         .join(core.withColumnRenamed("mask", "other"), "other", "left_semi")
-        .select("mask", "other")
+        .select("mask", "other"),
+        "links",
     )
 
     # Smallest reachable mask per core pattern. Each round also jumps to the label's own label.
@@ -70,8 +71,9 @@ def pattern_clusters(df: DataFrame, columns, eps: float = 0.5, min_points: int =
             links.join(labels.withColumnRenamed("mask", "other"), "other").groupBy("mask").agg(F.min("label").alias("label"))
         )
         jump = spread.select(F.col("mask").alias("label"), F.col("label").alias("further"))
-        after = materialize(
-            spread.join(jump, "label", "left").select("mask", F.least("label", F.coalesce("further", "label")).alias("label"))
+        after = stage(
+            spread.join(jump, "label", "left").select("mask", F.least("label", F.coalesce("further", "label")).alias("label")),
+            "labels",
         )
         changed = after.join(labels.withColumnRenamed("label", "before"), "mask").filter(F.col("label") != F.col("before"))
         done = changed.isEmpty()

@@ -6,7 +6,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions.parsing import field
-from appmetrics.functions.scratch import materialize
+from appmetrics.functions.scratch import stage
 from appmetrics.operators.ranking import running_totals
 
 
@@ -79,9 +79,9 @@ def label_indexes(df: DataFrame, columns, sequential: bool = True) -> dict[str,
         .groupBy("_column", "_value")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    ranked = materialize(running_totals(counts, [F.col("_column"), F.desc("_rows"), F.col("_value")], out="_place"))
+    ranked = running_totals(counts, [F.col("_column"), F.desc("_rows"), F.col("_value")], out="_place")
     first = ranked.groupBy("_column").agg(F.min("_place").alias("_first"))
-    placed = ranked.join(first, "_column")
+    placed = stage(ranked.join(first, "_column"), "indexes")
     return {
         c: placed.filter(F.col("_column") == i).select(
             F.col("_value").alias("value"), (F.col("_place") - F.col("_first")).cast("double").alias("index")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from appmetrics.functions import parsing as P
-from appmetrics.functions.scratch import materialize
+from appmetrics.functions.scratch import stage
 from appmetrics.schema import float_columns
 
 
@@ -16,8 +16,8 @@ def running_totals(df: DataFrame, order, amount: str | None = None, out: str = "
     partition, give each range its starting offset. ``order`` must identify a row.
     """
     step = P.field(amount).cast("bigint") if amount else F.lit(1).cast("bigint")
-    ranged = materialize(
-        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).withColumn("_step", step)
+    ranged = stage(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).withColumn("_step", step), "ranges"
     )
     # One row per shuffle partition, so this window is bounded by the session's partition count.
     totals = ranged.groupBy("_range").agg(F.sum("_step").alias("_total"))
@@ -34,13 +34,6 @@ def running_totals(df: DataFrame, order, amount: str | None = None, out: str = "
     )
 
 
-def average_ranks(df: DataFrame, column: str, weight: str, out: str) -> DataFrame:
-    """(value, rank) per distinct value; ties share their mean rank. ``weight`` counts the rows."""
-    counts = df.groupBy(P.field(column).alias(column)).agg(F.sum(weight).alias("_ties"))
-    totals = running_totals(counts, [P.field(column)], "_ties", "_upto")
-    return totals.select(P.field(column), (F.col("_upto") - (F.col("_ties") - 1) / 2.0).alias(out))
-
-
 def exact_quantiles(df: DataFrame, columns, probabilities, accuracy: int = 10_000) -> dict[str, list[float | None]]:
     """The value at rank ceil(p * n) of every column, in two passes over the data.
 

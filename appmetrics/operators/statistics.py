@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions.distributions import chi_square_tail, f_tail
 from appmetrics.functions.parsing import complete_rows, field, number_sql, quoted, text
-from appmetrics.operators.ranking import average_ranks
+from appmetrics.functions.scratch import stage
+from appmetrics.operators.ranking import running_totals
 from appmetrics.schema import float_columns, numeric_columns
 
 
@@ -35,28 +36,56 @@ def pearson_matrix(df: DataFrame, columns=None) -> DataFrame:
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Rank correlation with mean ranks for ties, over rows where both columns have a value.
-
-    Rows shrink to distinct value pairs with their counts before anything is ranked, so a value held
-    by a third of the rows is one row here.
-    """
-    both = complete_rows(df.select(field(a).cast("double").alias("a"), field(b).cast("double").alias("b")))
-    pairs = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("w"))
-    ranked = pairs.join(average_ranks(pairs, "a", "w", "ra"), "a").join(average_ranks(pairs, "b", "w", "rb"), "b")
-    middle = (pairs.agg(F.sum("w").alias("n")).scalar() + 1) / 2.0
-    da, db, w = F.col("ra") - middle, F.col("rb") - middle, F.col("w")
-    value = F.try_divide(F.sum(w * da * db), F.sqrt(F.sum(w * da * da)) * F.sqrt(F.sum(w * db * db)))
-    return ranked.agg(value.alias("value"), F.sum("w").alias("n"))
+    """Rank correlation of two columns: one row (column_a, column_b, value, n)."""
+    return _spearman(df, [(a, b)])
 
 
 def spearman_matrix(df: DataFrame, columns=None) -> DataFrame:
-    """(column_a, column_b, value, n) for each unordered pair."""
-    columns = list(columns or numeric_columns(df))
-    out = None
-    for a, b in combinations(columns, 2):
-        one = spearman(df, a, b).select(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), "value", "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """(column_a, column_b, value, n) for each unordered pair; a pair uses the rows where both have a value."""
+    return _spearman(df, list(combinations(columns or numeric_columns(df), 2)))
+
+
+def _spearman(df: DataFrame, pairs) -> DataFrame:
+    """Rank correlations with mean ranks for ties, all pairs together.
+
+    Rows shrink to distinct value pairs with their counts before anything is ranked, so a value held by a
+    third of the rows is one row here. The ranks of all columns of all pairs are one running total.
+    """
+    floats = set(float_columns(df))
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    at = {c: f"v{i}" for i, c in enumerate(columns)}
+    values = df.selectExpr(*[f"{number_sql(c, c in floats)} AS {at[c]}" for c in columns])
+    entries = ", ".join(f"struct({i} AS pair, {at[a]} AS a, {at[b]} AS b)" for i, (a, b) in enumerate(pairs))
+    cells = stage(
+        values.selectExpr(f"inline(array({entries}))")
+        .filter("a IS NOT NULL AND b IS NOT NULL")
+        .groupBy("pair", "a", "b")
+        .agg(F.count(F.lit(1)).alias("w")),
+        "cells",
+    )
+    sides = cells.selectExpr("pair", "w", "inline(array(struct(0 AS side, a AS v), struct(1 AS side, b AS v)))")
+    ties = sides.groupBy("pair", "side", "v").agg(F.sum("w").alias("ties"))
+    upto = stage(running_totals(ties, [F.col("pair"), F.col("side"), F.col("v")], "ties", "upto"), "ranks")
+    starts = upto.groupBy("pair", "side").agg(F.min(F.expr("upto - ties")).alias("start"), F.sum("ties").alias("n"))
+    # distance of the mean rank from the middle rank
+    ranks = upto.join(starts, ["pair", "side"]).selectExpr(
+        "pair", "side", "v", "n", "upto - start - (ties - 1) / 2D - (n + 1) / 2D AS rank"
+    )
+    left = ranks.filter("side = 0").selectExpr("pair", "v AS a", "rank AS ra", "n")
+    right = ranks.filter("side = 1").selectExpr("pair", "v AS b", "rank AS rb")
+    found = (
+        cells.join(left, ["pair", "a"])
+        .join(right, ["pair", "b"])
+        .groupBy("pair")
+        .agg(
+            F.expr("try_divide(sum(w * ra * rb), sqrt(sum(w * ra * ra)) * sqrt(sum(w * rb * rb))) AS value"),
+            F.expr("sum(w) AS n"),
+        )
+    )
+    names = ", ".join(f"struct({text(a)} AS a, {text(b)} AS b)" for a, b in pairs)
+    return found.selectExpr(f"get(array({names}), pair) AS name", "value", "n").selectExpr(
+        "name.a AS column_a", "name.b AS column_b", "value", "n"
+    )
 
 
 # ---- categorical columns ----

@@ -106,7 +106,7 @@ def model_columns(label: str) -> list[str]:
 
 def model_rows(df: DataFrame, label: str, min_rating: float = 1.0, min_ratings: int = 200) -> DataFrame:
     """Cleaned and encoded rows for predicting ``label`` (Rating, Installs or Price), before assembly."""
-    sized = K.drop_columns(C.with_size_bytes(type_listings(df)), *MODEL_DROPPED)
+    sized = stage(K.drop_columns(C.with_size_bytes(type_listings(df)), *MODEL_DROPPED), "sized")
     filled = C.fill_mean(C.drop_missing(sized, MODEL_REQUIRED), MODEL_MEAN_FILLED)
     flagged = K.text_flags(K.presence_flags(filled, MODEL_PRESENCE), MODEL_FLAGS)
     kept = flagged.filter((field("Rating") >= min_rating) & (field("Rating Count") >= min_ratings))

@@ -29,7 +29,7 @@ def _sql(body: str) -> str:
 
 
 def _complete(spark, sf_dir):
-    return diagnostic_listings(listings(spark, sf_dir))
+    return diagnostic_listings(listings(spark, sf_dir, busy=True))
 
 
 def _rated(spark, sf_dir):
