@@ -34,7 +34,13 @@ def running_totals(df: DataFrame, order, amount: str | None = None, out: str = "
     )
 
 
-def exact_quantiles(df: DataFrame, columns, probabilities, accuracy: int = 10_000) -> dict[str, list[float | None]]:
+# Distinct values that one window task may sort; beyond this the ranks come from a distributed running total.
+WINDOW_ROWS = 5_000_000
+
+
+def exact_quantiles(
+    df: DataFrame, columns, probabilities, accuracy: int = 10_000, window_rows: int = WINDOW_ROWS
+) -> dict[str, list[float | None]]:
     """The value at rank ceil(p * n) of every column, in two passes over the data.
 
     The first pass brackets each quantile with a mergeable sketch; the second counts what lies below
@@ -67,10 +73,11 @@ def exact_quantiles(df: DataFrame, columns, probabilities, accuracy: int = 10_00
 
     result = {c: [None] * len(probabilities) for c in columns}
     open_fence = (float("-inf"), float("inf"))
-    for _ in range(2):
+    rows = max((sketch[f"n{i}"] for i in range(len(columns))), default=0)
+    for share in (2 * margin, 1.0):
         if not targets:
             break
-        for (i, j), value in _values_at_ranks(values, targets).items():
+        for (i, j), value in _values_at_ranks(values, targets, rows * share, window_rows).items():
             result[columns[i]][j] = value
             del targets[(i, j)]
         targets = {k: (*open_fence, rank) for k, (_, _, rank) in targets.items()}
@@ -85,8 +92,11 @@ def _scaled(p: float) -> int:
     return int(round(p * 10**9))
 
 
-def _values_at_ranks(values: DataFrame, targets) -> dict:
-    """Exact value per target whose rank lies inside its bracket; one job for all targets."""
+def _values_at_ranks(values: DataFrame, targets, expected_rows: float, window_rows: int) -> dict:
+    """Exact value per target whose rank lies inside its bracket; one pass over the data for all targets.
+
+    ``expected_rows`` is about how many rows one bracket holds.
+    """
     keys = list(targets)
     marks = []
     for t, (i, j) in enumerate(keys):
@@ -99,15 +109,18 @@ def _values_at_ranks(values: DataFrame, targets) -> dict:
         .groupBy("target", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    # A bracket holds about 4 / accuracy of the rows at most, as distinct values.
-    order = Window.partitionBy("target").orderBy(F.asc_nulls_first("value"))
     ranks = "array(" + ", ".join(f"{int(targets[k][2])}L" for k in keys) + ")"
-    upto = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    hits = (
-        counted.withColumn("upto", upto)
-        .filter(f"value IS NOT NULL AND upto >= get({ranks}, target) AND upto - rows < get({ranks}, target)")
-        .collect()
-    )
+    if expected_rows <= window_rows:
+        order = Window.partitionBy("target").orderBy(F.asc_nulls_first("value"))
+        summed = counted.withColumn("upto", F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        # Too many distinct values inside the brackets for one task each: one distributed running total.
+        totals = running_totals(counted, [F.col("target"), F.asc_nulls_first("value")], "rows", "total")
+        starts = totals.groupBy("target").agg(F.min(F.expr("total - rows")).alias("start"))
+        summed = totals.join(starts, "target").withColumn("upto", F.expr("total - start"))
+    hits = summed.filter(
+        f"value IS NOT NULL AND upto >= get({ranks}, target) AND upto - rows < get({ranks}, target)"
+    ).collect()
     return {keys[r["target"]]: r["value"] for r in hits}
 
 

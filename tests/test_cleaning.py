@@ -57,8 +57,9 @@ def test_quantiles_with_hot_value_and_coarse_sketch(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 500.0).otherwise(F.col("id") * 1.0).alias("v"))
     values = np.sort([500.0 if i % 3 == 0 else float(i) for i in range(30_000)])
     for accuracy in (10, 100, 10_000):
-        got = Q.exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], accuracy)["v"]
-        assert got == [values[7499], values[14999], values[22499]]
+        for window_rows in (0, Q.WINDOW_ROWS):
+            got = Q.exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], accuracy, window_rows)["v"]
+            assert got == [values[7499], values[14999], values[22499]]
 
 
 def test_running_totals(spark):
