@@ -41,9 +41,9 @@ WINDOW_ROWS = 5_000_000
 def exact_quantiles(
     df: DataFrame, columns, probabilities, accuracy: int = 10_000, window_rows: int = WINDOW_ROWS
 ) -> dict[str, list[float | None]]:
-    """The value at rank ceil(p * n) of every column, in two passes over the data.
+    """The value at rank ceil(p * n) of every column, in three passes over the data.
 
-    The first pass brackets each quantile with a mergeable sketch; the second counts what lies below
+    The first pass brackets each quantile with a mergeable sketch; the others count what lies below
     the bracket and the distinct values inside it. The sketch error only decides how wide the bracket
     is: if the counts show that a rank fell outside, the bracket is opened and counted again.
     """
@@ -93,34 +93,34 @@ def _scaled(p: float) -> int:
 
 
 def _values_at_ranks(values: DataFrame, targets, expected_rows: float, window_rows: int) -> dict:
-    """Exact value per target whose rank lies inside its bracket; one pass over the data for all targets.
+    """Exact value per target whose rank lies inside its bracket; two passes over the data for all targets.
 
     ``expected_rows`` is about how many rows one bracket holds.
     """
     keys = list(targets)
-    marks = []
+    inside, below = [], []
     for t, (i, j) in enumerate(keys):
         low, high, _ = targets[(i, j)]
-        # Everything below the bracket shares one key (null), so it shrinks to one row per task.
-        below_or_in = f"struct({t} AS target, CASE WHEN v{i} >= {_double(low)} THEN v{i} END AS value)"
-        marks.append(f"CASE WHEN v{i} <= {_double(high)} THEN {below_or_in} END")
+        inside.append(f"CASE WHEN v{i} BETWEEN {_double(low)} AND {_double(high)} THEN struct({t} AS target, v{i} AS value) END")
+        below.append(F.expr(f"count_if(v{i} < {_double(low)})"))
+    # Counting what lies below is a plain aggregate; only the few rows inside a bracket become rows here.
+    under = values.agg(*below).first()
     counted = (
-        values.selectExpr("inline(array_compact(array(" + ", ".join(marks) + ")))")
+        values.selectExpr("inline(array_compact(array(" + ", ".join(inside) + ")))")
         .groupBy("target", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    ranks = "array(" + ", ".join(f"{int(targets[k][2])}L" for k in keys) + ")"
+    # Rank within the bracket; out of its range (no hit) if the bracket missed.
+    ranks = "array(" + ", ".join(f"{int(targets[k][2]) - under[t]}L" for t, k in enumerate(keys)) + ")"
     if expected_rows <= window_rows:
-        order = Window.partitionBy("target").orderBy(F.asc_nulls_first("value"))
+        order = Window.partitionBy("target").orderBy("value")
         summed = counted.withColumn("upto", F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     else:
         # Too many distinct values inside the brackets for one task each: one distributed running total.
-        totals = running_totals(counted, [F.col("target"), F.asc_nulls_first("value")], "rows", "total")
+        totals = running_totals(counted, [F.col("target"), F.col("value")], "rows", "total")
         starts = totals.groupBy("target").agg(F.min(F.expr("total - rows")).alias("start"))
         summed = totals.join(starts, "target").withColumn("upto", F.expr("total - start"))
-    hits = summed.filter(
-        f"value IS NOT NULL AND upto >= get({ranks}, target) AND upto - rows < get({ranks}, target)"
-    ).collect()
+    hits = summed.filter(f"upto >= get({ranks}, target) AND upto - rows < get({ranks}, target) AND get({ranks}, target) > 0").collect()
     return {keys[r["target"]]: r["value"] for r in hits}
 
 
