@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from appmetrics.llm import mixing, simhash
+from appmetrics.llm import mixing, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,11 @@ def op4_simhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.simhash_groups(docs)
     return found.select(F.col("id").alias("doc_id"), F.expr("lower(lpad(hex(fingerprint), 16, '0'))").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query
+def op6_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.without_repeats(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
