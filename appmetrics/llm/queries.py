@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from appmetrics.llm import mixing, repeats, simhash
+from appmetrics.llm import mixing, pieces, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,23 @@ def op6_substring_dedup(spark, sf_dir):
     return repeats.without_repeats(docs).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+def piece_model() -> str:
+    """The public model whose pieces the contract asks for."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op2_sentencepiece(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, piece_model(), parts=("packed", "decoded", "covered"))
+    return encoded.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.col("covered").alias("bytes_in_spans"),
+    )
