@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"  # stands for a space within pieces
 SPACE_BYTES = SPACE.encode()
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 400_000
+CHUNK_CHARS = 1_000_000
 
 
 def _fields(message: bytes):
@@ -106,41 +109,31 @@ class Model:
         special = any(dict(_fields(v)).get(3) == 4 for n, v in parts if n == 1)
         plain = not (self.map.units or self.trims or crossing or special)
         self.by_word = plain and self.dummy_prefix and self.escapes and bool(byte)
-        self.lone_space = np.uint32(self.library.piece_to_id(SPACE)).tobytes()
         self.known: dict[str, bytes] = {}
 
-    def _library_ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text), "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word and the space before it."""
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= KNOWN_WORDS:
-                self.known.clear()
-            found = self.known[word] = self._library_ids(word) if word else self.lone_space
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word and the space before it; the library is asked once for all new words."""
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        self.known.setdefault("", array("I", [self.library.piece_to_id(SPACE)]).tobytes())
+        found = list(map(self.known.get, words))
+        new = list({w for w, f in zip(words, found) if f is None})
+        if new:
+            self.known.update(zip(new, (array("I", ids).tobytes() for ids in self.library.encode(new, num_threads=1))))
+            found = list(map(self.known.__getitem__, words))
         return found
 
-    def ids(self, text: str) -> np.ndarray:
-        """Ids of a text, with the ids of begin and end."""
-        if not text:
-            body = b""
-        elif not self.by_word:
-            body = self._library_ids(text)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, with the ids of begin and end."""
+        begin, end = (array("I", [i]).tobytes() for i in (self.library.bos_id(), self.library.eos_id()))
+        if self.by_word:
+            split = list(map(_words, texts))
+            ids = self._word_ids(list(chain.from_iterable(split)))
+            upto = [0, *accumulate(map(len, split))]
+            bodies = (b"".join(ids[a:b]) for a, b in zip(upto, upto[1:]))
         else:
-            plain = text.replace(SPACE, " ")
-            if "  " in plain or plain[-1] == " " or plain[0] == " ":
-                # Spaces in a row merge with each other: all but one go with the word after them.
-                words = [m[1] or m[2] or "" for m in re.finditer(" ( *[^ ]+)| ( *)$", " " + plain)]
-            else:
-                words = plain.split(" ")
-            known = self.known
-            try:
-                body = b"".join([known[w] for w in words])
-            except KeyError:
-                body = b"".join([self._word(w) for w in words])
-        ends = [np.array([i], "<u4").tobytes() for i in (self.library.bos_id(), self.library.eos_id())]
-        return np.frombuffer(ends[0] + body + ends[1], "<u4")
+            bodies = (array("I", ids).tobytes() for ids in self.library.encode(texts, num_threads=1))
+        return [np.frombuffer(begin + body + end, "<u4") for body in bodies]
 
     def decode(self, ids: np.ndarray) -> str:
         return self.library.decode(ids.tolist())
@@ -197,6 +190,30 @@ def _width(first: int) -> int:
     return 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
 
 
+def _words(text: str) -> list[str]:
+    """Words of a text, each standing for itself and one space before it."""
+    if not text:
+        return []
+    plain = text.replace(SPACE, " ")
+    if "  " in plain or plain[0] == " " or plain[-1] == " ":
+        # Spaces in a row merge with each other: all but one go with the word after them.
+        return [m[1] or m[2] or "" for m in re.finditer(" ( *[^ ]+)| ( *)$", " " + plain)]
+    return plain.split(" ")
+
+
+def _some(texts, size: int):
+    """Lists of texts with about ``size`` characters."""
+    part, chars = [], 0
+    for t in texts:
+        part.append(t.as_py() or "")
+        chars += len(part[-1])
+        if chars >= size:
+            yield part
+            part, chars = [], 0
+    if part:
+        yield part
+
+
 _MODELS: dict[str, Model] = {}
 
 
@@ -229,9 +246,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "do
         own = model(path)
         for batch in batches:
             n, out = [], {p: [] for p in parts}
-            for t in batch.column(1):
-                text = t.as_py() or ""
-                ids = own.ids(text)
+            for text, ids in ((t, i) for some in _some(batch.column(1), CHUNK_CHARS) for t, i in zip(some, own.encode(some))):
                 n.append(len(ids))
                 if {"begins", "ends", "covered"} & out.keys():
                     begins, ends = own.spans(text, ids)
