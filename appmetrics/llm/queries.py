@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from appmetrics.llm import mixing, pieces, repeats, simhash
+from appmetrics.llm import language_filters, mixing, pieces, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,16 @@ def op2_sentencepiece(spark, sf_dir):
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         F.col("covered").alias("bytes_in_spans"),
     )
+
+
+# The fold of a document, by its id: what is held out is never learned from.
+HELD_OUT = "coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1, false)"
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", F.expr(HELD_OUT))
+    filters = language_filters.learn(docs.filter("NOT held_out"))
+    return docs.select("doc_id", "held_out", language_filters.identify(filters, F.col("text")).alias("found")).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score"
+    )
