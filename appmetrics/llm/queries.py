@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from appmetrics.llm import language_filters, mixing, pieces, repeats, simhash
+from appmetrics.functions.scratch import stage
+from appmetrics.llm import language_filters, mixing, pairwise_quality, pieces, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +120,14 @@ def op10_language_id(spark, sf_dir):
     return docs.select("doc_id", "held_out", language_filters.identify(filters, F.col("text")).alias("found")).select(
         "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score"
     )
+
+
+@query
+def op8_quality_ranking(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", F.expr(HELD_OUT))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    # One pass over the texts serves the fit and the scores.
+    made = stage(docs.select("doc_id", "held_out", pairwise_quality.feature_array(F.col("text")).alias("values")), "features")
+    ranking = pairwise_quality.fit(pairwise_quality.labelled(made.filter("NOT held_out"), labels))
+    scored = made.select("doc_id", "held_out", ranking.score("values").alias("score"))
+    return scored.select("doc_id", "held_out", "score", F.expr("cast(score >= 0.5D AS int)").alias("predicted"))
