@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmetrics.functions.scratch import stage
-from appmetrics.llm import language_filters, mixing, pairwise_quality, pieces, repeats, simhash
+from appmetrics.llm import kd_shards, language_filters, mixing, pairwise_quality, pieces, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +131,19 @@ def op8_quality_ranking(spark, sf_dir):
     ranking = pairwise_quality.fit(pairwise_quality.labelled(made.filter("NOT held_out"), labels))
     scored = made.select("doc_id", "held_out", ranking.score("values").alias("score"))
     return scored.select("doc_id", "held_out", "score", F.expr("cast(score >= 0.5D AS int)").alias("predicted"))
+
+
+@query
+def op5_kd_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    # What equal texts have in common, so that copies stay together.
+    dimensions = {
+        "length": F.log1p(F.octet_length("text")),
+        "lang": kd_shards.code_order(F.col("lang")),
+        "beyond_ascii": 1 - F.char_length("text") / F.greatest(F.octet_length("text"), F.lit(1)),
+    }
+    sharded = kd_shards.kd_shards(docs, dimensions, shards=24)
+    return sharded.select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
