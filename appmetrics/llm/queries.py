@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmetrics.functions.scratch import stage
-from appmetrics.llm import kd_shards, language_filters, mixing, pairwise_quality, pieces, repeats, simhash
+from appmetrics.llm import kd_shards, language_filters, mixing, pairwise_quality, pieces, repeats, simhash, url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,77 @@ def op5_kd_sharding(spark, sf_dir):
         F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+@query
+def op7_url_trust(spark, sf_dir):
+    judged = url_trust.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES)
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+def _rounds_sql(rounds: int) -> str:
+    """The rounds of both ranks, one common table each."""
+    ctes = ["rank0 AS MATERIALIZED (SELECT layer, host, jump AS rank FROM start)"]
+    for i in range(rounds):
+        ctes.append(
+            f"""rank{i + 1} AS MATERIALIZED (SELECT layer, host, sum(rank) AS rank FROM (
+  SELECT s.layer, s.dst AS host, 0.85::DOUBLE * r.rank * s.share AS rank FROM rank{i} r JOIN steps s ON r.layer = s.layer AND r.host = s.src
+  UNION ALL SELECT layer, host, {1 - url_trust.DAMPING!r}::DOUBLE * jump FROM start) GROUP BY ALL)"""
+        )
+    return ",\n".join(ctes)
+
+
+ORACLES["op7_url_trust"] = (
+    r"""
+WITH rules AS (SELECT rule, verdict, split_part(rule, '/', 1) AS rhost, substr(rule, instr(rule, '/')) AS rpath
+  FROM (VALUES """
+    + ", ".join(f"('{r}', '{v}')" for v, r in RULES)
+    + r""") AS t(rule, verdict)),
+rests AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+known AS (
+  SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM rests),
+hits AS (
+  SELECT host, path, rule, verdict FROM (SELECT DISTINCT host, path FROM known) AS k JOIN rules
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, rule) = 1),
+ruled AS MATERIALIZED (SELECT page_id, k.host, k.path, h.rule, h.verdict FROM known AS k LEFT JOIN hits AS h ON k.host = h.host AND k.path = h.path),
+seeds AS (SELECT host, count(*) FILTER (verdict = 'allow')::DOUBLE AS allowed, count(*) FILTER (verdict = 'block')::DOUBLE AS blocked FROM ruled GROUP BY host),
+start AS MATERIALIZED (
+  SELECT 't' AS layer, host, allowed / (SELECT sum(allowed) FROM seeds) AS jump FROM seeds WHERE allowed > 0
+  UNION ALL SELECT 'd', host, blocked / (SELECT sum(blocked) FROM seeds) FROM seeds WHERE blocked > 0),
+links AS (
+  SELECT src, dst, count(*)::DOUBLE AS weight FROM (
+    SELECT host AS src, lower(unnest(regexp_extract_all(html, '(?i)(?:href|src)\s*=\s*["'']?\s*[a-z][a-z0-9+.-]*://([^/?#"''\s>]*)', 1))) AS dst FROM known)
+  WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY ALL),
+hosts AS (SELECT host FROM known WHERE host <> '' UNION SELECT dst FROM links),
+levels AS (
+  SELECT host, string_split(host, '.') AS labels FROM hosts),
+chains AS (
+  SELECT list_distinct([host, array_to_string(labels[-4:], '.'), array_to_string(labels[-3:], '.'), array_to_string(labels[-2:], '.'), labels[-1]]) AS members FROM levels),
+ordered AS (SELECT list_reverse(list_sort(list_transform(members, lambda m: {'n': length(m), 'm': m}))) AS chain FROM chains),
+up AS (
+  SELECT DISTINCT chain[i].m AS src, chain[i + 1].m AS dst FROM (SELECT chain, unnest(range(1, len(chain))) AS i FROM ordered)),
+edges AS (
+  SELECT src, dst, sum(weight) AS weight FROM (
+    SELECT * FROM links UNION ALL SELECT src, dst, 1 FROM up WHERE dst <> '' UNION ALL SELECT dst, src, 1 FROM up WHERE dst <> '') GROUP BY ALL),
+two AS (SELECT 't' AS layer, src, dst, weight FROM edges UNION ALL SELECT 'd', dst, src, weight FROM edges),
+steps AS MATERIALIZED (SELECT layer, src, dst, weight / sum(weight) OVER (PARTITION BY layer, src) AS share FROM two),
+"""
+    + _rounds_sql(url_trust.ROUNDS)
+    + f""",
+ranks AS (SELECT host, coalesce(sum(rank) FILTER (layer = 't'), 0) AS trust, coalesce(sum(rank) FILTER (layer = 'd'), 0) AS distrust FROM rank{url_trust.ROUNDS} GROUP BY host)
+SELECT page_id, r.host, path, rule,
+  coalesce(verdict, CASE WHEN distrust / (trust + distrust) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled AS r LEFT JOIN ranks AS k ON r.host = k.host
+"""
+)
