@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmetrics.functions.scratch import stage
-from appmetrics.llm import kd_shards, language_filters, mixing, pairwise_quality, pieces, repeats, simhash, url_trust
+from appmetrics.llm import (
+    hash_forest,
+    kd_shards,
+    language_filters,
+    mixing,
+    pairwise_quality,
+    pieces,
+    projection_links,
+    repeats,
+    simhash,
+    url_trust,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -221,3 +232,15 @@ SELECT page_id, r.host, path, rule,
 FROM ruled AS r LEFT JOIN ranks AS k ON r.host = k.host
 """
 )
+
+
+@query
+def op1_hash_forest_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hash_forest.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
+@query
+def op9_embedding_near_dedup(spark, sf_dir):
+    found = projection_links.vector_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
