@@ -163,11 +163,18 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", chars_col: str | No
     A whole document keeps its text; a range is its words joined by one space, with ``chars_col`` counted anew.
     """
     placed = mix(docs, text_col=text_col, **how)
-    whole = placed.filter("passes > 0").selectExpr("row", "explode(array_repeat(true, cast(passes AS int))) AS again").select("row.*")
-    parts = placed.selectExpr("row", f"split(row.`{text_col}`, '[\\\\x20\\\\x09-\\\\x0D]+') AS words", "explode(array(struct(from1 AS f, to1 AS t), struct(from2 AS f, to2 AS t))) AS part").filter("part.t > part.f")
+    # A range (0, -1) stands for the whole document.
+    parts = placed.selectExpr(
+        "row",
+        "explode(concat(array_repeat(struct(0L AS f, -1L AS t), cast(passes AS int)), "
+        "filter(array(struct(from1 AS f, to1 AS t), struct(from2 AS f, to2 AS t)), p -> p.t > p.f))) AS part",
+    )
     # A text that begins with white space has an empty first part.
-    parts = parts.selectExpr("row", "slice(filter(words, w -> w <> ''), cast(part.f + 1 AS int), cast(part.t - part.f AS int)) AS words")
-    cut = parts.selectExpr("row.*", "concat_ws(' ', words) AS `__cut`").withColumn(text_col, F.col("__cut")).drop("__cut")
+    words = f"filter(split(row.`{text_col}`, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"
+    cut = f"concat_ws(' ', slice({words}, cast(part.f + 1 AS int), cast(part.t - part.f AS int)))"
+    made = parts.selectExpr("row", f"CASE WHEN part.t < 0 THEN row.`{text_col}` ELSE {cut} END AS made", "part.t < 0 AS whole")
+    new = {text_col: F.col("made")}
     if chars_col and chars_col in docs.columns:
-        cut = cut.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
-    return whole.unionByName(cut.select(*docs.columns))
+        counted = F.length("made").cast(docs.schema[chars_col].dataType)
+        new[chars_col] = F.when(F.col("whole"), F.col("row").getField(chars_col)).otherwise(counted)
+    return made.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
