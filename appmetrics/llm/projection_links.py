@@ -78,10 +78,13 @@ def linked(a: np.ndarray, b: np.ndarray, planes: np.ndarray, width: float, need:
     return found
 
 
-def groups(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest row number reachable, for rows and columns of a table of links (columns count on after rows)."""
+def groups(found: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest row number reachable, for rows and columns of a table of links.
+
+    Columns are the rows themselves if ``same`` (the table is symmetric then), else they count on after the rows.
+    """
     n = len(found)
-    rows, columns = np.arange(n), np.arange(n, n + found.shape[1])
+    rows, columns = np.arange(n), np.arange(found.shape[1]) + (0 if same else n)
     used_rows, used_columns = np.flatnonzero(found.any(axis=1)), np.flatnonzero(found.any(axis=0))
     part = found[np.ix_(used_rows, used_columns)]
     if part.size:
@@ -89,6 +92,8 @@ def groups(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         while True:
             new_columns = np.minimum(columns[used_columns], np.where(part, rows[used_rows][:, None], most).min(axis=0))
             new_rows = np.minimum(rows[used_rows], np.where(part, new_columns[None, :], most).min(axis=1))
+            if same:
+                new_rows = new_columns = np.minimum(new_rows, new_columns)
             if (new_columns == columns[used_columns]).all() and (new_rows == rows[used_rows]).all():
                 break
             columns[used_columns], rows[used_rows] = new_columns, new_rows
@@ -158,7 +163,7 @@ def _block_links(rows: DataFrame, length: int, threshold: float, block_rows: int
         found = linked(unit if same else unit[first], unit if same else unit[~first], planes, width, need, threshold)
         if same:
             np.fill_diagonal(found, False)
-        at_rows, at_columns = groups(found)
+        at_rows, at_columns = groups(found, same)
         both = np.concatenate((a, b))
         n_rows, n_columns = found.sum(axis=1), found.sum(axis=0)
         parts = [(a, n_rows, both[at_rows])]

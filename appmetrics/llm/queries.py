@@ -214,7 +214,7 @@ hosts AS (SELECT host FROM known WHERE host <> '' UNION SELECT dst FROM links),
 levels AS (
   SELECT host, string_split(host, '.') AS labels FROM hosts),
 chains AS (
-  SELECT list_distinct([host, array_to_string(labels[-4:], '.'), array_to_string(labels[-3:], '.'), array_to_string(labels[-2:], '.'), labels[-1]]) AS members FROM levels),
+  SELECT list_distinct([host, array_to_string(labels[-4:], '.'), array_to_string(labels[-3:], '.'), array_to_string(labels[-2:], '.')]) AS members FROM levels),
 ordered AS (SELECT list_reverse(list_sort(list_transform(members, lambda m: {'n': length(m), 'm': m}))) AS chain FROM chains),
 up AS (
   SELECT DISTINCT chain[i].m AS src, chain[i + 1].m AS dst FROM (SELECT chain, unnest(range(1, len(chain))) AS i FROM ordered)),

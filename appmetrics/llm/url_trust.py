@@ -6,7 +6,7 @@ block are the seeds of another, which follows links backwards: who links to the
 distrust outweighs its trust by ``threshold`` blocks the pages that no rule judges.
 
 Edges lead from a page's host to the hosts it links to by full URL, weighted by the number of links, and both
-ways between a host and the domains above it, up to ``LEVELS`` labels.
+ways between a host and the domains above it, of ``LEVELS`` to two labels.
 """
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
     hosts = pages.select("host").unionAll(counted.select("dst")).distinct().filter("host <> ''")
     up = (
         hosts.selectExpr(
-            f"array_distinct(array_prepend(transform(sequence({LEVELS}, 1, -1), k -> substring_index(host, '.', -k)), host)) AS chain"
+            f"array_distinct(array_prepend(transform(sequence({LEVELS}, 2, -1), k -> substring_index(host, '.', -k)), host)) AS chain"
         )
         .selectExpr("explode(transform(sequence(1, greatest(size(chain) - 1, 1)), i -> struct(chain[i - 1] AS src, get(chain, i) AS dst))) AS e")
         .select("e.*")
