@@ -29,9 +29,18 @@ def field(c: str | Column) -> Column:
     return c if isinstance(c, Column) else F.col(quoted(c))
 
 
+def whole_number_sql(value: str) -> str:
+    """A count written as a whole or decimal number (``64``, ``64.0``, ``1e3``), truncated; exact to 64 bits."""
+    return f"try_cast(try_cast({value} AS decimal(38, 6)) AS bigint)"
+
+
+def whole_number(c: str) -> Column:
+    return F.expr(whole_number_sql(quoted(c)))
+
+
 def count_from_text(c: str) -> Column:
     """``'1,000+'`` -> 1000."""
-    return F.expr(f"try_cast(translate(cast({quoted(c)} AS string), ',+', '') AS bigint)")
+    return F.expr(whole_number_sql(f"translate(cast({quoted(c)} AS string), ',+', '')"))
 
 
 def _size_sql(c: str) -> str:

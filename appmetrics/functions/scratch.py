@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for local sessions."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    A local session without one gets one temporary folder, which goes when the process ends. A configured
+    folder is the caller's: what jobs have left in it can be deleted once their results are written.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
@@ -18,7 +27,11 @@ def shared_folder(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="appmetrics-")
+    session = spark.sparkContext.applicationId
+    if session not in _OWN:
+        _OWN[session] = tempfile.mkdtemp(prefix="appmetrics-")
+        atexit.register(shutil.rmtree, _OWN[session], ignore_errors=True)
+    return _OWN[session]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

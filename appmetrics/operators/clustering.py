@@ -12,8 +12,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions.distance import nearest, nearest_cluster, nearest_squared_distance
-from appmetrics.functions.parsing import complete_rows, field, quoted
+from appmetrics.functions.parsing import complete_rows, field, missing_sql, quoted
 from appmetrics.operators.sampling import weighted_draw
+from appmetrics.schema import float_columns
 
 WEIGHT = "_weight"
 
@@ -41,11 +42,10 @@ class Clusters:
     costs: list[float] = attribute(default_factory=list)
 
     def assign(self, df: DataFrame, out: str = "cluster") -> DataFrame:
-        """Add the index of the nearest center; null where a feature is missing."""
-        complete = F.lit(True)
-        for c in self.features:
-            complete = complete & field(c).isNotNull()
-        return df.withColumn(out, F.when(complete, nearest_cluster(self.features, self.centers)))
+        """Add the index of the nearest center; null where a feature is missing (null or NaN)."""
+        floats = set(float_columns(df))
+        complete = " AND ".join(f"NOT {missing_sql(c, c in floats)}" for c in self.features)
+        return df.withColumn(out, F.when(F.expr(complete), nearest_cluster(self.features, self.centers)))
 
 
 def lloyd_step(points: DataFrame, features, centers) -> tuple[list[list[float]], float]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions.parsing import field
@@ -35,16 +35,14 @@ def frequency_encode(df: DataFrame, columns) -> DataFrame:
     return out.select(*[field(c) for c in order])
 
 
-def one_hot_encode(df: DataFrame, columns, max_values: int = 1000) -> DataFrame:
-    """One boolean column ``<column>_<value>`` per value; the source columns go.
+def one_hot_encode(df: DataFrame, columns) -> DataFrame:
+    """One boolean column ``<column>_<value>`` per value; the source columns go. Null is false in all of them.
 
-    Refuses columns with more than ``max_values`` values: use ``one_hot_vectors`` for those.
+    The result is as wide as there are values: use ``one_hot_vectors`` for columns with many.
     """
     out = df
     for c in columns:
-        found = df.filter(field(c).isNotNull()).select(field(c).cast("string").alias("v")).distinct().limit(max_values + 1).collect()
-        if len(found) > max_values:
-            raise ValueError(f"{c} has more than {max_values} values")
+        found = df.filter(field(c).isNotNull()).select(field(c).cast("string").alias("v")).distinct().collect()
         text = field(c).cast("string")
         flags = {f"{c}_{v}": F.coalesce(text == F.lit(v), F.lit(False)) for v in sorted(r["v"] for r in found)}
         out = out.withColumns(flags).drop(c)
@@ -52,10 +50,24 @@ def one_hot_encode(df: DataFrame, columns, max_values: int = 1000) -> DataFrame:
 
 
 def one_hot_vectors(df: DataFrame, columns) -> DataFrame:
-    """Sparse one-hot vector ``<column>_vec`` per column."""
-    indexed = StringIndexer(inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns], handleInvalid="skip").fit(df).transform(df)
-    encoder = OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_vec" for c in columns], dropLast=False)
-    return encoder.fit(indexed).transform(indexed).drop(*[f"{c}_idx" for c in columns])
+    """Sparse one-hot vector ``<column>_vec`` per column; null gives a vector of zeros.
+
+    Values get their places from the distributed label index (most frequent first), so a column may have any
+    number of them.
+    """
+    columns = list(columns)
+    indexes = label_indexes(df, columns, sequential=False)
+    sizes = _index_sizes(indexes, columns)
+    coded = encode_columns(df, columns, "_idx", indexes)
+    for c in columns:
+        size = max(1, sizes[c])
+        place = F.greatest(field(f"{c}_idx"), F.when(field(c).isNull(), size).otherwise(0)).cast("double")
+        coded = coded.withColumn(f"{c}_idx", place).withMetadata(f"{c}_idx", {"ml_attr": {"type": "nominal", "name": c, "num_vals": size}})
+    # A place past the known values is kept as a value of its own, which is then dropped: zeros.
+    encoder = OneHotEncoder(
+        inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_vec" for c in columns], handleInvalid="keep", dropLast=True
+    )
+    return encoder.fit(coded).transform(coded).drop(*[f"{c}_idx" for c in columns])
 
 
 def label_indexes(df: DataFrame, columns, sequential: bool = True) -> dict[str, DataFrame]:

@@ -34,94 +34,86 @@ def running_totals(df: DataFrame, order, amount: str | None = None, out: str = "
     )
 
 
-# Distinct values that one window task may sort; beyond this the ranks come from a distributed running total.
-WINDOW_ROWS = 5_000_000
+BINS = 1024
 
 
-def exact_quantiles(
-    df: DataFrame, columns, probabilities, accuracy: int = 10_000, window_rows: int = WINDOW_ROWS
-) -> dict[str, list[float | None]]:
-    """The value at rank ceil(p * n) of every column, in three passes over the data.
+def exact_quantiles(df: DataFrame, columns, probabilities) -> dict[str, list[float | None]]:
+    """The value at rank ceil(p * n) of every column, by counting.
 
-    The first pass brackets each quantile with a mergeable sketch; the others count what lies below
-    the bracket and the distinct values inside it. The sketch error only decides how wide the bracket
-    is: if the counts show that a rank fell outside, the bracket is opened and counted again.
+    The numbers are written once as a narrow table. Every pass counts the rows per bin of each open range, from
+    the column's least to its largest value at first, and goes on with the bin that holds the rank, until that
+    bin holds one value. A pass is a plain aggregate whose result has ``BINS`` rows per range, for tables of any
+    size, and after the first one few rows are inside the ranges.
     """
     columns, probabilities = list(columns), list(probabilities)
     if not columns:
         return {}
     floats = set(float_columns(df))
-    values = df.selectExpr(*[f"{P.number_sql(c, c in floats)} AS v{i}" for i, c in enumerate(columns)])
-    margin = 2.0 / accuracy
-    fences = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
-    points = "array(" + ", ".join(f"{p!r}D" for p in fences) + ")"
-    sketch = values.agg(
+    values = stage(df.selectExpr(*[f"{P.number_sql(c, c in floats)} AS v{i}" for i, c in enumerate(columns)]), "numbers")
+    finite = "CASE WHEN abs(v{0}) < double('Infinity') THEN v{0} END"
+    facts = values.agg(
         *[F.expr(f"count(v{i}) AS n{i}") for i in range(len(columns))],
-        *[F.expr(f"percentile_approx(v{i}, {points}, {accuracy}) AS q{i}") for i in range(len(columns))],
+        *[F.expr(f"min({finite.format(i)}) AS low{i}") for i in range(len(columns))],
+        *[F.expr(f"max({finite.format(i)}) AS high{i}") for i in range(len(columns))],
+        *[F.expr(f"count_if(v{i} = double('-Infinity')) AS below{i}") for i in range(len(columns))],
+        *[F.expr(f"count_if(v{i} = double('Infinity')) AS above{i}") for i in range(len(columns))],
     ).first()
 
-    targets = {}
-    for i in range(len(columns)):
-        n, found = sketch[f"n{i}"], sketch[f"q{i}"]
-        for j, p in enumerate(probabilities):
-            if n:
-                low = found[fences.index(max(p - margin, 0.0))]
-                high = found[fences.index(min(p + margin, 1.0))]
-                # Integer arithmetic of the decimal text: 0.1 * 30 must give rank 3, not 4.
-                rank = max(1, -(-_scaled(p) * n // 10**9))
-                targets[(i, j)] = (low, high, rank)
-
     result = {c: [None] * len(probabilities) for c in columns}
-    open_fence = (float("-inf"), float("inf"))
-    rows = max((sketch[f"n{i}"] for i in range(len(columns))), default=0)
-    for share in (2 * margin, 1.0):
-        if not targets:
-            break
-        for (i, j), value in _values_at_ranks(values, targets, rows * share, window_rows).items():
-            result[columns[i]][j] = value
-            del targets[(i, j)]
-        targets = {k: (*open_fence, rank) for k, (_, _, rank) in targets.items()}
+    open_ranks: dict[tuple[int, int], tuple[float, float, int]] = {}
+    for i, c in enumerate(columns):
+        n, below, above = facts[f"n{i}"], facts[f"below{i}"], facts[f"above{i}"]
+        for j, p in enumerate(probabilities):
+            # Integer arithmetic of the decimal text: 0.1 * 30 must give rank 3, not 4.
+            rank = max(1, -(-_scaled(p) * n // 10**9))
+            if n and rank <= below:
+                result[c][j] = float("-inf")
+            elif n and rank > n - above:
+                result[c][j] = float("inf")
+            elif n:
+                open_ranks[(i, j)] = (float(facts[f"low{i}"]), float(facts[f"high{i}"]), rank - below)
+    while open_ranks:
+        ranges = sorted({(i, low, high) for (i, _), (low, high, _) in open_ranks.items()})
+        bins = _counted(values, ranges)
+        for (i, j), (low, high, rank) in list(open_ranks.items()):
+            for least, most, rows in bins[ranges.index((i, low, high))]:
+                if rank <= rows:
+                    break
+                rank -= rows
+            open_ranks[(i, j)] = (least, most, rank)
+            if least == most:
+                result[columns[i]][j] = least
+                del open_ranks[(i, j)]
     return result
 
 
-def _double(v: float) -> str:
-    return f"{v!r}D" if abs(v) != float("inf") else f"double('{'-' if v < 0 else ''}Infinity')"
-
-
 def _scaled(p: float) -> int:
     return int(round(p * 10**9))
 
 
-def _values_at_ranks(values: DataFrame, targets, expected_rows: float, window_rows: int) -> dict:
-    """Exact value per target whose rank lies inside its bracket; two passes over the data for all targets.
+def _bin_sql(v: str, low: float, high: float) -> str:
+    """Bin of a value; halves, so that the width of no range overflows."""
+    scale = BINS / (high / 2 - low / 2) if high / 2 > low / 2 else float("inf")
+    if scale == float("inf"):
+        return f"CASE WHEN {v} > {low!r}D THEN 1 ELSE 0 END"
+    return f"cast(least(floor(({v} / 2 - {low / 2!r}D) * {scale!r}D), {BINS - 1}) AS int)"
 
-    ``expected_rows`` is about how many rows one bracket holds.
-    """
-    keys = list(targets)
-    inside, below = [], []
-    for t, (i, j) in enumerate(keys):
-        low, high, _ = targets[(i, j)]
-        inside.append(f"CASE WHEN v{i} BETWEEN {_double(low)} AND {_double(high)} THEN struct({t} AS target, v{i} AS value) END")
-        below.append(F.expr(f"count_if(v{i} < {_double(low)})"))
-    # Counting what lies below is a plain aggregate; only the few rows inside a bracket become rows here.
-    under = values.agg(*below).first()
+
+def _counted(values: DataFrame, ranges) -> list[list[tuple[float, float, int]]]:
+    """For each range (column number, low, high): least value, largest value and rows of its bins, in order."""
+    inside = [
+        f"CASE WHEN v{i} BETWEEN {low!r}D AND {high!r}D THEN struct({t} AS range, {_bin_sql(f'v{i}', low, high)} AS bin, v{i} AS value) END"
+        for t, (i, low, high) in enumerate(ranges)
+    ]
     counted = (
         values.selectExpr("inline(array_compact(array(" + ", ".join(inside) + ")))")
-        .groupBy("target", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("range", "bin")
+        .agg(F.min("value").alias("least"), F.max("value").alias("most"), F.count(F.lit(1)).alias("rows"))
     )
-    # Rank within the bracket; out of its range (no hit) if the bracket missed.
-    ranks = "array(" + ", ".join(f"{int(targets[k][2]) - under[t]}L" for t, k in enumerate(keys)) + ")"
-    if expected_rows <= window_rows:
-        order = Window.partitionBy("target").orderBy("value")
-        summed = counted.withColumn("upto", F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    else:
-        # Too many distinct values inside the brackets for one task each: one distributed running total.
-        totals = running_totals(counted, [F.col("target"), F.col("value")], "rows", "total")
-        starts = totals.groupBy("target").agg(F.min(F.expr("total - rows")).alias("start"))
-        summed = totals.join(starts, "target").withColumn("upto", F.expr("total - start"))
-    hits = summed.filter(f"upto >= get({ranks}, target) AND upto - rows < get({ranks}, target) AND get({ranks}, target) > 0").collect()
-    return {keys[r["target"]]: r["value"] for r in hits}
+    out: list[list] = [[] for _ in ranges]
+    for r in sorted(counted.collect(), key=lambda r: (r["range"], r["bin"])):
+        out[r["range"]].append((r["least"], r["most"], r["rows"]))
+    return out
 
 
 def top_rows(df: DataFrame, n: int, *order) -> DataFrame:

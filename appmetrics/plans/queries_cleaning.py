@@ -10,7 +10,16 @@ from appmetrics.operators import cleaning as C, columns as K, profiling as R, sa
 from appmetrics.plans.catalog import ANDROID_SQL, CATALOG, INSTALLS_SQL, SIZE_SQL, YEAR_SQL, listing_sql, rounded
 from appmetrics.plans.preparation import REQUIRED, clean_listings
 from appmetrics.schema import FLAG_COLUMNS
-from appmetrics.sources.files import read_listings, type_listings, without_commas, write_csv
+from appmetrics.sources.files import (
+    read_listings,
+    read_text_fields,
+    read_well_formed,
+    rewrite_without_commas,
+    type_listings,
+    without_commas,
+    write_csv,
+    write_splits,
+)
 from appmetrics.sources.listing_view import driver_table, listings
 
 # ---- parsing and projections ----
@@ -136,7 +145,6 @@ def years_days_and_floors(spark, sf_dir):
 
 @CATALOG.add(
     "FLT-5",
-    "SRT-4",
     sql=listing_sql(
         """SELECT "Rating", "Rating Count", count(*) AS listings FROM apps
         WHERE "Rating" >= 1 AND "Rating" <= 5 AND "Rating Count" >= 200 AND "Price" >= 0 GROUP BY ALL"""
@@ -148,6 +156,11 @@ def range_filters(spark, sf_dir):
     return kept.groupBy("Rating", "Rating Count").agg(F.count(F.lit(1)).alias("listings"))
 
 
+@CATALOG.add("SRT-4", sql=listing_sql('SELECT "App Id", "Rating" FROM apps ORDER BY "App Id" LIMIT 5'))
+def first_listings(spark, sf_dir):
+    return K.preview(listings(spark, sf_dir, "App Id", "Rating").orderBy("App Id"))
+
+
 # ---- profiling ----
 
 _PROFILED = ["Rating", "Installs", "Maximum Installs", "Size", "Developer Website", "Developer Email", "Released", "Privacy Policy", "Ad Supported"]
@@ -463,6 +476,34 @@ def csv_round_trip(spark, sf_dir):
 
 @CATALOG.add(
     "SRC-3",
+    "PRJ-1",
+    sql=listing_sql(
+        """SELECT "App Id", CASE WHEN "Rating Count" % 60 = 40 THEN NULL ELSE "Rating Count" END AS "Rating Count"
+        FROM apps WHERE "Rating Count" % 100 NOT IN (0, 20)"""
+    ),
+)
+def surplus_fields_skipped(spark, sf_dir):
+    """Counts written as decimals, in lines of which some have too many fields, empty ones too, or too few."""
+    path = scratch_path(spark, "listings-lines")
+    end = """CASE WHEN `Rating Count` % 100 = 0 THEN ',,x' WHEN `Rating Count` % 100 = 20 THEN ',' ELSE '' END"""
+    count = """CASE WHEN `Rating Count` % 100 IN (0, 20) THEN concat(',', `Rating Count`, '.0') WHEN `Rating Count` % 60 = 40 THEN ''
+      WHEN `Rating Count` % 40 = 0 THEN concat(',', `Rating Count`) ELSE concat(',', `Rating Count`, '.0') END"""
+    listings(spark, sf_dir, "App Id", "Rating Count").selectExpr(f"concat(`App Id`, {count}, {end}) AS line").write.text(path)
+    return type_listings(read_well_formed(spark, path, columns=["App Id", "Rating Count"]))
+
+
+@CATALOG.add(
+    "SNK-3",
+    sql=listing_sql("""SELECT "App Id", replace("Installs", ',', '') AS "Installs", replace("Released", ',', ' ') AS "Released" FROM apps"""),
+)
+def comma_free_copy(spark, sf_dir):
+    source, target = scratch_path(spark, "with-commas"), scratch_path(spark, "without-commas")
+    write_csv(listings(spark, sf_dir, "App Id", "Installs", "Released"), source)
+    rewrite_without_commas(spark, source, target)
+    return read_text_fields(spark, target)
+
+
+@CATALOG.add(
     "SNK-3",
     sql=listing_sql("""SELECT "App Id", replace("Installs", ',', '') AS "Installs", replace("Released", ',', ' ') AS "Released" FROM apps"""),
 )
@@ -488,9 +529,22 @@ def sampled_rows(spark, sf_dir):
     return S.sample_rows(df, 4, 0, ["App Id"], portable=True)
 
 
+_PARTS_SQL = listing_sql(
+    f"""SELECT CASE WHEN u < 0.6 THEN 'train' WHEN u < 0.6 + 0.2 THEN 'val' ELSE 'test' END AS part, "App Id"
+    FROM (SELECT "App Id", {_uniform_sql(7)} AS u FROM apps)"""
+)
+
+
+@CATALOG.add("SNK-2", sql=_PARTS_SQL)
+def splits_written(spark, sf_dir):
+    folder = scratch_path(spark, "splits")
+    write_splits(S.train_validation_test(listings(spark, sf_dir, "App Id"), 7, portable=True), folder)
+    parts = [read_text_fields(spark, f"{folder}/{name}").withColumn("part", F.lit(name)) for name in ("train", "val", "test")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @CATALOG.add(
     "SMP-3",
-    "SNK-2",
     sql=listing_sql(
         f"""SELECT CASE WHEN u < 0.6 THEN 'train' WHEN u < 0.6 + 0.2 THEN 'val' ELSE 'test' END AS part, "App Id"
         FROM (SELECT "App Id", {_uniform_sql(7)} AS u FROM apps)"""

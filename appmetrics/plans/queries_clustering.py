@@ -78,6 +78,13 @@ def lloyd_three_rounds(spark, sf_dir):
     return rounded(K.centers_frame(df, K.lloyd(df, _FEATURES, _CENTERS, max_iter=3)), *_FEATURES, digits=2)
 
 
+@CATALOG.add("CL-5", "FLT-2", sql=listing_sql(_centers_sql(20, 3, _FEATURES), *_lloyd_ctes(_POINTS, _CENTERS, 20)))
+def lloyd_to_the_end(spark, sf_dir):
+    """Until the centers repeat, 20 rounds at most."""
+    df = _lloyd_frame(spark, sf_dir)
+    return rounded(K.centers_frame(df, K.lloyd(df, _FEATURES, _CENTERS, max_iter=20)), *_FEATURES, digits=2)
+
+
 _STARTS = [[0.0], [2.0], [3.0], [4.5]]
 
 
@@ -101,6 +108,20 @@ def cluster_means(spark, sf_dir):
     return K.rounded_means(K.lloyd(df, _FEATURES, _CENTERS, max_iter=3).assign(df))
 
 
+@CATALOG.add(
+    "CL-7",
+    sql=listing_sql(
+        f"""SELECT CAST({_nearest_sql(3, 3)} AS INTEGER) AS cluster, round(sum(f0 * w) / sum(w), 2) AS rating,
+        CAST(floor(sum(f1 * w) / sum(w)) AS BIGINT) AS installs, round(sum(f2 * w) / sum(w) / 1e6, 2) AS megabytes,
+        CAST(sum(w) AS BIGINT) AS rows FROM points, s20 GROUP BY 1""",
+        *_lloyd_ctes(_POINTS, _CENTERS, 20),
+    ),
+)
+def cluster_means_at_the_end(spark, sf_dir):
+    df = _lloyd_frame(spark, sf_dir)
+    return K.rounded_means(K.lloyd(df, _FEATURES, _CENTERS, max_iter=20).assign(df))
+
+
 @CATALOG.add(
     "CL-8",
     sql=listing_sql(
@@ -130,7 +151,7 @@ def kmeans_plus_plus_centers(spark, sf_dir):
     return K.centers_frame(df, K.Clusters(_SHAPE, K.kmeans_plus_plus(df, _SHAPE, 3, seed=1)))
 
 
-@CATALOG.add("CL-3", "CL-13", "SMP-1")
+@CATALOG.add("CL-3", "CL-13")
 def kmeans_profile(spark, sf_dir):
     df = _shape_frame(spark, sf_dir)
     found = K.kmeans(df, _SHAPE, 3, centers=K.kmeans_plus_plus(df, _SHAPE, 3, seed=1))

@@ -12,7 +12,8 @@ from appmetrics.functions import parsing as P
 from appmetrics.operators.columns import drop_columns, select_kind
 from appmetrics.schema import TYPED_COLUMNS, raw_schema, text_columns
 
-_EXTRA = "_fields_past_header"
+_LINE = "_irregular_line"
+_END = "\u0001end"
 
 
 def read_text_fields(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -20,14 +21,23 @@ def read_text_fields(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.csv(path, header=True, escape='"', **options)
 
 
-def read_well_formed(spark: SparkSession, path: str, **options) -> DataFrame:
+def read_well_formed(spark: SparkSession, path: str, columns=None, **options) -> DataFrame:
     """As ``read_text_fields``, without the lines that have more fields than the header.
 
     Lines with fewer fields are kept and padded with nulls. (``DROPMALFORMED`` would drop those too.)
+    ``columns`` names the fields of files without a header.
     """
-    header = read_text_fields(spark, path, **options).columns
-    padded = spark.read.csv(path, header=True, escape='"', schema=raw_schema([*header, _EXTRA]), **options)
-    return padded.filter(F.col(_EXTRA).isNull()).drop(_EXTRA)
+    header = list(columns or read_text_fields(spark, path, **options).columns)
+    # A parser that skips unused columns would not count fields.
+    counting = spark.read.option("columnPruning", False).option("columnNameOfCorruptRecord", _LINE)
+    read = counting.csv(path, header=columns is None, escape='"', schema=raw_schema([*header, _LINE]), **options)
+    # A line with another number of fields than the header is kept aside. With one more field at its end it is
+    # short enough if that field still finds a place.
+    sep = options.get("sep", ",")
+    kinds = ", ".join(f"f{i} string" for i in range(len(header) + 1))
+    again = F.from_csv(F.concat(F.col(_LINE), F.lit(f"{sep}{_END}")), kinds, {"escape": '"', "sep": sep})
+    short = F.array_contains(F.array(*[again[f"f{i}"] for i in range(len(header) + 1)]), _END)
+    return read.filter(F.col(_LINE).isNull() | short).drop(_LINE)
 
 
 def type_listings(df: DataFrame) -> DataFrame:
@@ -35,7 +45,10 @@ def type_listings(df: DataFrame) -> DataFrame:
     typed = {}
     for name, kind in TYPED_COLUMNS.items():
         if name in df.columns:
-            typed[name] = P.count_from_text(name) if name == "Installs" else P.field(name).try_cast(kind)
+            if name == "Installs":
+                typed[name] = P.count_from_text(name)
+            else:
+                typed[name] = P.whole_number(name) if kind == "bigint" else P.field(name).try_cast(kind)
     if "Editors Choice" in df.columns:
         typed["Editors Choice"] = P.field("Editors Choice").cast("string")
     return df.withColumns(typed) if typed else df

@@ -52,14 +52,25 @@ def test_quantiles_are_exact(spark, n):
     assert got == want
 
 
-def test_quantiles_with_hot_value_and_coarse_sketch(spark):
-    # A third of the rows share one value, and a sketch this coarse misses brackets: the counts must notice.
+def test_quantiles_with_hot_value(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 500.0).otherwise(F.col("id") * 1.0).alias("v"))
     values = np.sort([500.0 if i % 3 == 0 else float(i) for i in range(30_000)])
-    for accuracy in (10, 100, 10_000):
-        for window_rows in (0, Q.WINDOW_ROWS):
-            got = Q.exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], accuracy, window_rows)["v"]
-            assert got == [values[7499], values[14999], values[22499]]
+    got = Q.exact_quantiles(df, ["v"], [0.25, 0.5, 0.75])["v"]
+    assert got == [values[7499], values[14999], values[22499]]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1.0], [2.0, 2.0, 2.0], [float("-inf"), 1.0, float("inf"), float("inf")], [float("inf")] * 3, [-1.7e308, 0.0, 1.7e308, 5.0],
+        [0.0, 5e-324, 1e-323, 1.0], [1e18, 1e18 + 128, 1.0, 2.0, 1e-9], [-0.0, 0.0, -5e-324],
+    ],
+)
+def test_quantiles_of_extreme_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double")
+    ordered = sorted(values)
+    want = [ordered[max(1, -(-int(p * 100) * len(ordered) // 100)) - 1] for p in (0.25, 0.5, 0.75)]
+    assert Q.exact_quantiles(df, ["v"], [0.25, 0.5, 0.75])["v"] == want
 
 
 def test_running_totals(spark):

@@ -126,3 +126,9 @@ def test_too_many_flags(spark):
     df = spark.range(3).select(*[F.lit(1).alias(f"c{i}") for i in range(13)])
     with pytest.raises(ValueError):
         D.pattern_clusters(df, df.columns)
+
+
+def test_rows_with_nan_have_no_cluster(spark):
+    df = spark.createDataFrame([(1.0,), (9.0,), (float("nan"),), (None,)], "x double")
+    got = [r["cluster"] for r in K.Clusters(["x"], [[0.0], [10.0]]).assign(df).collect()]
+    assert got == [0, 1, None, None]

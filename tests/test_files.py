@@ -29,6 +29,9 @@ ROWS = [
     line(App_Name="bad number", Rating="n/a"),
     line(App_Name='"Foo, Bar"'),
     line(App_Name="too many") + ",x",
+    line(App_Name="empty and more") + ",,x",
+    line(App_Name="one empty more") + ",",
+    line(App_Name="decimal counts", Rating_Count="64.0", Minimum_Installs="1e3", Maximum_Installs="12345678901234567890", Installs='"1,000.0+"'),
     "too few,id,cat",
 ]
 
@@ -53,6 +56,21 @@ def test_typed_scan(spark, path):
     assert df.filter(df["App Name"] == "Foo, Bar").count() == 1
 
 
+def test_counts_written_as_decimals(spark, path):
+    df = IO.read_listings(spark, path)
+    assert value(df, "decimal counts", "Rating Count") == 64
+    assert value(df, "decimal counts", "Minimum Installs") == 1000
+    assert value(df, "decimal counts", "Maximum Installs") is None
+    assert value(df, "decimal counts", "Installs") == 1000
+    assert value(df, "clean", "Rating Count") is None
+
+
+def test_surplus_fields(spark, path):
+    names = {r[0] for r in IO.read_well_formed(spark, path).select("App Name").collect()}
+    assert names.isdisjoint({"too many", "empty and more", "one empty more"})
+    assert {"too few", "clean", "Foo, Bar", "decimal counts"} <= names
+
+
 def test_feature_subsets_and_encoding(spark, path):
     numbers = IO.read_listings(spark, path, "Numerical")
     assert "Rating" in numbers.columns and "Category" not in numbers.columns
@@ -65,7 +83,7 @@ def test_feature_subsets_and_encoding(spark, path):
 
 def test_malformed_lines(spark, path):
     names = {r[0] for r in IO.read_well_formed(spark, path).select("App Name").collect()}
-    assert "too many" not in names and "too few" in names and len(names) == len(ROWS) - 1
+    assert "too many" not in names and "too few" in names and len(names) == len(ROWS) - 3
 
 
 def test_sizes(spark, path):

@@ -1,6 +1,7 @@
 """Encoders against pyspark.ml, models on easy data, evaluation against pyspark.ml evaluators."""
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
@@ -30,11 +31,14 @@ def test_unknown_values(spark):
     assert {r["t_orig"] for r in E.decode_columns(kept, ["t"], indexes).collect()} == {"a", None}
 
 
-def test_one_hot_limit(spark):
-    df = spark.range(20).select(F.col("id").cast("string").alias("t"))
-    assert len(E.one_hot_encode(df, ["t"], 20).columns) == 20
-    with pytest.raises(ValueError):
-        E.one_hot_encode(df, ["t"], 19)
+def test_one_hot_of_many_values_and_nulls(spark):
+    df = spark.range(1200).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("t"))
+    flags = E.one_hot_encode(df, ["t"])
+    assert len(flags.columns) == 1199
+    vectors = E.one_hot_vectors(df, ["t"]).select("t", vector_to_array("t_vec").alias("v"))
+    assert vectors.count() == 1200
+    assert vectors.filter("size(v) <> 1199").count() == 0
+    assert vectors.filter("aggregate(v, 0D, (a, x) -> a + x) <> CASE WHEN t IS NULL THEN 0 ELSE 1 END").count() == 0
 
 
 def test_label_is_never_a_feature():
