@@ -129,3 +129,10 @@ def complete_rows(df: DataFrame, columns=None) -> DataFrame:
         if c in floats:
             tests.append(f"NOT isnan({quoted(c)})")
     return df.filter(" AND ".join(tests)) if tests else df
+
+
+def exact_sum(df: DataFrame, c: str) -> Column:
+    """Sum of a column: whole numbers in decimal, so that no total overflows or depends on the order of rows."""
+    if dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint"):
+        return F.sum(F.expr(f"cast({quoted(c)} AS decimal(20, 0))"))
+    return F.sum(field(c).cast("double"))

@@ -1,15 +1,15 @@
 """Descriptive questions about listings: counts, prices, installs, sizes, ratings, developers.
 
 Every answer is one filter, one partially aggregated group-by and a sort of the grouped rows; top-k
-forms use ``orderBy().limit()``, which keeps k rows per task. Install totals are summed in double, because
-those of a large table exceed a 64-bit integer.
+forms use ``orderBy().limit()``, which keeps k rows per task. Totals of whole numbers are summed in decimal:
+those of a large table exceed a 64-bit integer. Results are given in double where the column was.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from appmetrics.functions.parsing import field, quoted, size_bytes
+from appmetrics.functions.parsing import exact_sum, field, quoted, size_bytes
 from appmetrics.operators.shares import percent_of_total
 from appmetrics.schema import VARIES
 
@@ -118,12 +118,15 @@ def rating_by_category(df: DataFrame, paid_only: bool = False) -> DataFrame:
 
 def developer_scores(df: DataFrame, n: int | None = None) -> DataFrame:
     """Per developer: sum of ratings times sum of rating counts over listings, truncated."""
-    score = F.sum("Rating") * F.sum("Rating Count") / F.count(F.lit(1))
+    score = F.sum("Rating") * exact_sum(df, "Rating Count").cast("double") / F.count(F.lit(1))
+    # Ordered before it is cut to 64 bits, so that larger scores do not tie.
     out = (
         df.filter(_has("Developer Id", "Rating", "Rating Count"))
         .groupBy("Developer Id")
-        .agg(F.floor(score).cast("bigint").alias("score"))
-        .orderBy(F.desc("score"), "Developer Id")
+        .agg(score.alias("exact"))
+        .selectExpr("`Developer Id`", "exact", "cast(floor(exact) AS bigint) AS score")
+        .orderBy(F.desc("score"), F.expr("CASE WHEN score = 9223372036854775807L THEN exact END").desc(), "Developer Id")
+        .drop("exact")
     )
     return out if n is None else out.limit(n)
 
@@ -142,8 +145,9 @@ def reach_by_content_rating(df: DataFrame) -> DataFrame:
     return (
         df.filter(_has("Rating Count", "Maximum Installs", "Content Rating"))
         .groupBy("Content Rating")
-        .agg(F.sum(field("Maximum Installs").cast("double")).alias("installs"), F.sum("Rating Count").alias("ratings"))
+        .agg(exact_sum(df, "Maximum Installs").alias("installs"), exact_sum(df, "Rating Count").alias("ratings"))
         .orderBy(F.desc("installs"), F.desc("ratings"), "Content Rating")
+        .selectExpr("`Content Rating`", "cast(installs AS double) AS installs", "try_cast(ratings AS bigint) AS ratings")
     )
 
 
@@ -152,8 +156,9 @@ def best_listings(df: DataFrame, free: bool, min_installs: int = 500_000, n: int
     out = (
         df.filter(_has("Minimum Installs", "Rating", "App Name") & (field("Free") == F.lit(free)))
         .groupBy("App Name")
-        .agg(F.max("Rating").alias("rating"), F.sum(field("Minimum Installs").cast("double")).alias("installs"))
-        .filter(F.col("installs") > min_installs)
-        .orderBy(F.desc("rating"), F.asc("installs"), "App Name")
+        .agg(F.max("Rating").alias("rating"), exact_sum(df, "Minimum Installs").alias("total"))
+        .filter(F.col("total") > min_installs)
+        .orderBy(F.desc("rating"), F.asc("total"), "App Name")
     )
-    return out if n is None else out.limit(n)
+    first = out if n is None else out.limit(n)
+    return first.selectExpr("`App Name`", "rating", "cast(total AS double) AS installs")

@@ -4,22 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from appmetrics.functions.parsing import field
-
-# Sums run in double: install totals of a large table exceed a 64-bit integer.
-_AGGREGATES = {"sum": F.sum, "mean": F.avg}
-
+from appmetrics.functions.parsing import exact_sum, field
 
 def group_totals(df: DataFrame, group: str, value: str, how: str = "sum", n: int | None = None, ascending: bool = False, out: str = "total") -> DataFrame:
     """Sum or mean of ``value`` per group (groups without a key stay out), sorted, optionally the first n."""
     order = F.asc(out) if ascending else F.desc(out)
-    totals = (
-        df.filter(field(group).isNotNull())
-        .groupBy(field(group))
-        .agg(_AGGREGATES[how](field(value).cast("double")).alias(out))
-        .orderBy(order, field(group))
-    )
-    return totals if n is None else totals.limit(n)
+    amount = {"sum": exact_sum(df, value), "mean": F.avg(field(value).cast("double"))}[how]
+    totals = df.filter(field(group).isNotNull()).groupBy(field(group)).agg(amount.alias(out)).orderBy(order, field(group))
+    first = totals if n is None else totals.limit(n)
+    return first.withColumn(out, field(out).cast("double"))
 
 
 def overall_mean(df: DataFrame, value: str, out: str = "mean") -> DataFrame:

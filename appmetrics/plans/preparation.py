@@ -119,13 +119,17 @@ def model_rows(df: DataFrame, label: str, min_rating: float = 1.0, min_ratings:
 DRAW = "draw"
 
 
+def with_draw(df: DataFrame, seed: int = 0) -> DataFrame:
+    """Adds the draw, from the listing's id where there is one: rows that are alike in all else draw apart."""
+    return df.withColumn(DRAW, uniform_hash(["App Id"] if "App Id" in df.columns else df.columns, seed))
+
+
 def model_vectors(df: DataFrame, label: str, floor_label: bool = False, seed: int = 0) -> DataFrame:
     """(features, label, draw) for predicting ``label``; ``floor_label`` turns ratings into whole-star classes."""
-    rows = model_rows(df, label)
+    rows = model_rows(with_draw(df, seed), label)
     if floor_label:
         rows = K.floor_columns(rows, label)
-    drawn = rows.withColumn(DRAW, uniform_hash(rows.columns, seed))
-    return assemble(drawn, model_columns(label), label, keep=[DRAW])
+    return assemble(rows, model_columns(label), label, keep=[DRAW])
 
 
 def split_by_draw(df: DataFrame, train: float) -> tuple[DataFrame, DataFrame]:
@@ -196,10 +200,9 @@ LINEAR_INPUTS = {
 def encoded_vectors(cleaned: DataFrame, label: str, seed: int = 0) -> DataFrame:
     """(features, label, draw) from all remaining columns of cleaned listings; incomplete rows are skipped."""
     plan = LINEAR_INPUTS[label]
-    kept = K.drop_columns(cleaned, *plan["drop"])
+    kept = K.drop_columns(with_draw(cleaned, seed), *plan["drop"])
     ordered = K.label_last(label_encode(kept, plan["encode"]), label)
-    drawn = ordered.withColumn(DRAW, uniform_hash(ordered.columns, seed))
-    return assemble(drawn, K.feature_names(ordered, label), label, invalid="skip", keep=[DRAW])
+    return assemble(ordered, K.feature_names(ordered.drop(DRAW), label), label, invalid="skip", keep=[DRAW])
 
 
 def labelled_listings(df: DataFrame, label: str = "Rating", drop=("App Name", "App Id", "Price", "Size")) -> DataFrame:

@@ -198,7 +198,7 @@ def model_rows(spark, sf_dir):
 
 def _vectors(spark, sf_dir, label, floor_label=False):
     """Prepared vectors, written once: fitting and scoring read them several times."""
-    df = listings(spark, sf_dir, *_MODEL_COLUMNS, busy=True)
+    df = listings(spark, sf_dir, "App Id", *_MODEL_COLUMNS, busy=True)
     return P.split_by_draw(stage(P.model_vectors(df, label, floor_label), "vectors"), 0.7)
 
 
@@ -279,13 +279,12 @@ def stars_shallow_forest(spark, sf_dir):
 
 
 def _labelled_vectors(spark, sf_dir):
-    df = P.labelled_listings(
-        listings(
-            spark, sf_dir, "App Name", "Category", "Rating", "Rating Count", "Free", "Price", "Ad Supported", "Content Rating", busy=True
-        )
-    ).withColumn("Ad Supported", F.col("Ad Supported").cast("double"))
-    drawn = df.withColumn(P.DRAW, P.uniform_hash(df.columns, 0))
-    features = [c for c in df.columns if c != "Rating"]
+    source = listings(
+        spark, sf_dir, "App Id", "App Name", "Category", "Rating", "Rating Count", "Free", "Price", "Ad Supported", "Content Rating", busy=True
+    )
+    # The id only draws: it is no feature, and its frequency would need a count of all ids.
+    drawn = P.labelled_listings(P.with_draw(source).drop("App Id")).withColumn("Ad Supported", F.col("Ad Supported").cast("double"))
+    features = [c for c in drawn.columns if c not in ("Rating", P.DRAW)]
     return P.split_by_draw(stage(E.assemble(drawn, features, "Rating", keep=[P.DRAW]), "labelled"), 0.8)
 
 
