@@ -122,6 +122,26 @@ def cluster_means_at_the_end(spark, sf_dir):
     return K.rounded_means(K.lloyd(df, _FEATURES, _CENTERS, max_iter=20).assign(df))
 
 
+_PROFILE = ", ".join(
+    f"""round(sum({v} * w) / sum(w), 2) AS "mean_{c}", min({v}) AS "min_{c}", max({v}) AS "max_{c}\"""" for v, c in zip(("f0", "f1", "f2"), _FEATURES)
+)
+
+
+@CATALOG.add(
+    "CL-3",
+    "CL-13",
+    sql=listing_sql(
+        f"SELECT CAST({_nearest_sql(3, 3)} AS INTEGER) AS cluster, CAST(sum(w) AS BIGINT) AS rows, {_PROFILE} FROM points, s20 GROUP BY 1",
+        *_lloyd_ctes(_POINTS, _CENTERS, 20),
+    ),
+)
+def kmeans_profile_from_given_centers(spark, sf_dir):
+    df = _lloyd_frame(spark, sf_dir)
+    found = K.kmeans(df, _FEATURES, 3, centers=_CENTERS, max_iter=20)
+    doubles = found.assign(df).withColumns({c: F.col(c).cast("double") for c in _FEATURES})
+    return rounded(K.cluster_profile(doubles, _FEATURES), *[f"mean_{c}" for c in _FEATURES], digits=2)
+
+
 @CATALOG.add(
     "CL-8",
     sql=listing_sql(

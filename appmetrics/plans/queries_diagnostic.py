@@ -365,3 +365,17 @@ def anova_of_rating_by_category(spark, sf_dir):
 def anova_of_event_value_by_type(spark, sf_dir):
     df = T.anova(driver_table(spark, sf_dir, "events"), "event_type", "value")
     return rounded(rounded(df, "f"), "ss_between", "ss_within", digits=2)
+
+
+@CATALOG.add("STA-6", "STA-7")
+def p_values(spark, sf_dir):
+    """The incomplete gamma and beta functions behind these have no SQL form; tests hold them to known values."""
+    apps = listings(spark, sf_dir, "Category", "Content Rating", "Ad Supported", "Free", "Rating", "Rating Count")
+    found = [
+        ("anova: Rating Count by Ad Supported", T.anova_p_value(apps, "Ad Supported", "Rating Count")),
+        ("anova: Rating by Category", T.anova_p_value(apps, "Category", "Rating")),
+        ("anova: value by event type", T.anova_p_value(driver_table(spark, sf_dir, "events"), "event_type", "value")),
+        ("chi-square: Category and Content Rating", T.chi_square_p_value(apps, "Category", "Content Rating")),
+        ("chi-square: Ad Supported and Free", T.chi_square_p_value(apps, "Ad Supported", "Free")),
+    ]
+    return spark.createDataFrame(found, "test string, p_value double")

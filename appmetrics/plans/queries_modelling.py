@@ -224,6 +224,18 @@ def price_on_quantity_line(spark, sf_dir):
     return rounded(rounded(line, "slope", "intercept", digits=3), "r2")
 
 
+@CATALOG.add(
+    "MOD-1",
+    "EVA-2",
+    sql="""SELECT round(sqrt(regr_syy(l_extendedprice, l_quantity) / count(*) * (1 - regr_r2(l_extendedprice, l_quantity))), 2) AS rmse,
+    round(regr_r2(l_extendedprice, l_quantity), 4) AS r2, [round(regr_slope(l_extendedprice, l_quantity), 3)] AS coefficients FROM lineitem""",
+)
+def price_on_quantity_fit(spark, sf_dir):
+    rows = E.assemble(driver_table(spark, sf_dir, "lineitem"), ["l_quantity"], "l_extendedprice")
+    fit = M.linear_summary(rows, M.linear(rows, "l_extendedprice")).selectExpr("rmse", "r2", "transform(coefficients, c -> round(c, 3)) AS coefficients")
+    return rounded(rounded(fit, "rmse", digits=2), "r2")
+
+
 @CATALOG.add("MOD-1", "EVA-1", "EVA-2", "PRJ-14", "SMP-4")
 def rating_line(spark, sf_dir):
     train, test = _linear_vectors(spark, sf_dir, "Rating")
