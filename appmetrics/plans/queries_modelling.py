@@ -303,7 +303,7 @@ def _labelled_vectors(spark, sf_dir):
 @CATALOG.add("MOD-8", "EVA-4")
 def stars_rbf_machine(spark, sf_dir):
     train, test = _labelled_vectors(spark, sf_dir)
-    model = M.rbf_machine(train, "Rating", size=32, max_iter=10)
+    model = M.rbf_machine(train, "Rating")
     predicted = stage(model.transform(test).select("Rating", "prediction"), "predicted")
     return V.classification_report(predicted, "Rating")
 
@@ -316,7 +316,7 @@ def stars_machine_search(spark, sf_dir):
         return M.rbf_machine(rows, label, cost=cost, size=16, max_iter=5)
 
     found = M.random_search(train, "Rating", machine, {"cost": M.log_uniform(1.0, 1e4)}, draws=2, folds=2, key=[P.DRAW])
-    return found.trials.select("trial", "score")
+    return found.trials.select("trial", "parameters", "score", (F.col("parameters") == str(found.best)).alias("best"))
 
 
 @CATALOG.add("SNK-4", sql="SELECT count(*) AS rows, count(*) AS equal FROM part")
