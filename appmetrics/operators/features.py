@@ -25,14 +25,24 @@ def with_value_counts(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def frequency_encode(df: DataFrame, columns) -> DataFrame:
-    """Replace each value by its share of all rows."""
-    order = df.columns
-    total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    """Replace each value by its share of all rows; null stays null.
+
+    One scan counts the values of all columns, and the rows. Values are told apart by their text.
+    """
+    columns = list(columns)
+    entries = [F.struct(F.lit(-1).alias("_column"), F.lit("").alias("_value"))]
+    for i, c in enumerate(columns):
+        entries.append(F.when(field(c).isNotNull(), F.struct(F.lit(i).alias("_column"), field(c).cast("string").alias("_value"))))
+    counts = stage(
+        df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_rows")),
+        "frequencies",
+    )
+    total = counts.filter(F.col("_column") == -1).agg(F.max("_rows")).first()[0] or 1
     out = df
     for i, c in enumerate(columns):
-        counts = df.filter(field(c).isNotNull()).groupBy(field(c).alias(c)).agg((F.count(F.lit(1)) / total).alias(f"_share{i}"))
-        out = out.join(counts, c, "left").drop(c).withColumnRenamed(f"_share{i}", c)
-    return out.select(*[field(c) for c in order])
+        table = counts.filter(F.col("_column") == i).select("_value", (F.col("_rows") / total).alias("_share"))
+        out = out.join(table, field(c).cast("string") == F.col("_value"), "left").drop(c, "_value").withColumnRenamed("_share", c)
+    return out.select(*[field(c) for c in df.columns])
 
 
 def one_hot_encode(df: DataFrame, columns) -> DataFrame:
