@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from appmetrics.functions.scratch import stage
+from appmetrics.llm.batches import bound_batches
 
 SLOTS = 1 << 18  # of the table; it is a model's only part that travels to every task, and does not grow
 HASHES = 4
@@ -121,6 +122,7 @@ def learn(
     rivals: float = RIVALS,
 ) -> Filters:
     """Filters from all rows of ``docs`` whose language is not null; no such row gives filters without languages."""
+    bound_batches(docs.sparkSession)
     rows = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
     def count(batches):

@@ -22,9 +22,11 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from appmetrics.llm.batches import bound_batches
+
 SPACE = "▁"  # stands for a space within pieces
 SPACE_BYTES = SPACE.encode()
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 CHUNK_CHARS = 1_000_000
 
 
@@ -240,6 +242,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "do
         "ends": ("array<int>", pa.list_(pa.int32())), "packed": ("binary", pa.binary()),
         "decoded": ("string", pa.string()), "covered": ("bigint", pa.int64()),
     }
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
@@ -259,6 +262,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "do
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), *[pa.array(out[p], kinds[p][1]) for p in parts]], ["id", "n_tokens", *parts]
             )
+        # The worker lives on and runs other tasks.
+        own.known.clear()
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, n_tokens bigint" + "".join(f", {p} {kinds[p][0]}" for p in parts))

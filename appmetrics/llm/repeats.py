@@ -24,11 +24,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from appmetrics.functions.scratch import stage
+from appmetrics.llm.batches import bound_batches
 
 WINDOW = 35
 ANCHOR = 8
-CHUNK_WORDS = 300_000
-KNOWN_WORDS = 200_000
+CHUNK_WORDS = 100_000
+KNOWN_WORDS = 100_000
 ANCHOR_BASE, WINDOW_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 KEYS = ("anchor", "span", "shift", "length")
 
@@ -66,9 +67,8 @@ class Passages:
         self.doc = np.repeat(np.arange(len(lengths)), counts)
         offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         self.start = self.first[self.doc] + offset
-        if len(self.start):
-            self.shingles = self._shingles()
-            self.chosen = self._least(window - anchor + 1)[self.start]
+        self.shingles = self._shingles()
+        self.chosen = self._least(window - anchor + 1)[self.start]
 
     def _shingles(self) -> np.ndarray:
         n = len(self.words) - self.anchor + 1
@@ -96,17 +96,13 @@ class Passages:
         return np.cumprod(factors)
 
     def anchors(self):
-        """(document, place of an anchor in it, hash), each anchor once."""
-        if not len(self.start):
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        """(document, place of an anchor in it, hash), each anchor once. There are windows."""
         new = np.concatenate(([True], (self.chosen[1:] != self.chosen[:-1]) | (self.doc[1:] != self.doc[:-1])))
         doc, place = self.doc[new], self.chosen[new]
         return doc, place - self.first[doc], self.shingles[place]
 
     def runs(self, wanted: list[np.ndarray]):
-        """Runs of windows around the wanted anchors (places by document), with their hashes."""
-        if not len(self.start):
-            return None
+        """Runs of windows around the wanted anchors (places by document), with their hashes. There are windows."""
         seed = np.zeros(len(self.words), bool)
         for first, places in zip(self.first, wanted):
             seed[first + places] = True
@@ -124,12 +120,12 @@ class Passages:
         return doc, start - self.first[doc], place - start, length, self.shingles[place], span, windows
 
 
-def _chunks(batches, known: WordHashes, least: int):
-    """(ids, text hashes, extra column or None, word hashes) of some documents at a time; short ones are left out."""
+def _chunks(batches, known: WordHashes, least: int, read=lambda text: text):
+    """(rows, word hashes) of some documents at a time; documents with fewer than ``least`` words are left out."""
     for batch in batches:
         rows, hashes, size = [], [], 0
         for i in range(batch.num_rows):
-            words = batch.column(2)[i].as_py().split()
+            words = read(batch.column(2)[i].as_py()).split()
             if len(words) >= least:
                 rows.append(i)
                 hashes.append(known.of(words))
@@ -168,6 +164,7 @@ def repeated_spans(
     """
     if not 0 < anchor <= window:
         raise ValueError("an anchor has 1 to `window` words")
+    bound_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
@@ -196,22 +193,16 @@ def repeated_spans(
 
     def extend(batches):
         known = WordHashes()
-        for batch in batches:
-            plain = pa.array([_unzip(p.as_py()) for p in batch.column(2)], pa.binary())
-            batch = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), plain, batch.column(3)], ["id", "h", "t", "p"])
-            for part, hashes in _chunks([batch], known, window):
-                wanted = [np.asarray(p.values) for p in part.column(3)]
-                got = Passages(hashes, window, anchor).runs(wanted)
-                if got is None:
-                    continue
-                doc, start, shift, length, value, span, windows = got
-                at = pa.array(doc)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(at), part.column(1).take(at)]
-                    + [pa.array(x.astype(np.int32)) for x in (start, shift, length)]
-                    + [_signed(value), _signed(span), pa.array(windows, pa.binary())],
-                    ["id", "text_hash", "start", "shift", "length", "anchor", "span", "windows"],
-                )
+        for part, hashes in _chunks(batches, known, window, _unzip):
+            wanted = [np.asarray(p.values) for p in part.column(3)]
+            doc, start, shift, length, value, span, windows = Passages(hashes, window, anchor).runs(wanted)
+            at = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(at), part.column(1).take(at)]
+                + [pa.array(x.astype(np.int32)) for x in (start, shift, length)]
+                + [_signed(value), _signed(span), pa.array(windows, pa.binary())],
+                ["id", "text_hash", "start", "shift", "length", "anchor", "span", "windows"],
+            )
 
     runs = stage(
         seeded.mapInArrow(
@@ -291,7 +282,9 @@ def without_repeats(
     )
 
     def cut(packed: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
+        left_over: list[bytes] = []
+        counted: list[tuple[int, int]] = []
+        found_ranges: list[list[dict]] = []
         for p, s in zip(packed, spans):
             text = _unzip(p.as_py())
             words = text.split()
@@ -308,14 +301,13 @@ def without_repeats(
                 kept += words[at:begin]
                 at = end
             kept += words[at:]
-            left = text if verbatim and not ranges else b" ".join(kept)
-            out.append(
-                {
-                    "text": left.decode(), "n_words": len(words), "n_removed": len(words) - len(kept),
-                    "repeats": [{"begin": b, "end": e} for b, e in ranges],
-                }
-            )
-        return pa.array(out, kind)
+            left_over.append(text if verbatim and not ranges else b" ".join(kept))
+            counted.append((len(words), len(words) - len(kept)))
+            found_ranges.append([{"begin": b, "end": e} for b, e in ranges])
+        n_words, n_removed = (pa.array([n[i] for n in counted], pa.int64()) for i in (0, 1))
+        return pa.StructArray.from_arrays(
+            [pa.array(left_over, pa.string()), n_words, n_removed, pa.array(found_ranges, kind.field("repeats").type)], fields=list(kind)
+        )
 
     shape = "struct<text: string, n_words: bigint, n_removed: bigint, repeats: array<struct<begin: int, end: int>>>"
     return joined.select("row", F.arrow_udf(cut, shape)("packed", "spans").alias("cut")).select("row", "cut.*")

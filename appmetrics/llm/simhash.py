@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions.scratch import stage
+from appmetrics.llm.batches import bound_batches
 from appmetrics.llm.components import components
 
 SEED = 42
@@ -53,6 +54,7 @@ def fingerprint(text: bytes | None, shingle_words: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
     """(id, fingerprint bigint), one row per row of ``docs``; the bits of the fingerprint as a signed number."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
 
     def run(batches):

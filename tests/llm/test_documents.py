@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from appmetrics.llm import kd_shards, language_filters, mixing, pairwise_quality, pieces, repeats, simhash
+from appmetrics.llm import batches, kd_shards, language_filters, mixing, pairwise_quality, pieces, repeats, simhash
 from appmetrics.llm.queries import ORACLES, QUERIES, piece_model
 from oracle import difference, spark_rows, sql_rows
 from tests.llm import brute
@@ -315,3 +315,14 @@ def test_filters_name_all_languages_of_an_ngram(spark):
     code, _ = language_filters.grams(["omm"])
     masks = np.bitwise_and.reduce([filters.table[s.astype(int)] for s in language_filters.slots(code[1:2])])
     assert sum(int(m).bit_count() for m in masks[0]) == 70
+
+
+def test_batches_are_bounded(spark):
+    was = spark.conf.get(batches.SETTING)
+    try:
+        for given, want in (("64m", 8 << 20), ("67108864b", 8 << 20), ("1m", 1 << 20), ("1000", 1000)):
+            spark.conf.set(batches.SETTING, given)
+            batches.bound_batches(spark)
+            assert batches.size_of(spark.conf.get(batches.SETTING)) == want
+    finally:
+        spark.conf.set(batches.SETTING, was)
