@@ -3,7 +3,7 @@
 Each tree gives a vector a long string of bits: on which side of random planes it lies. A tree is the array of its
 strings in order, so the vectors that share a prefix with a query stand in a row. A search descends in every
 tree to the longest prefix that any vector shares with the query, then ascends in all trees at once, one bit
-at a time, until the vectors met are enough; these are measured exactly.
+at a time, until the vectors met are enough, the query's own id apart; these are measured exactly.
 
 The vectors are dealt to blocks by a hash of their id, a forest over each, so the index of all rows is built
 and searched in parallel with bounded memory, whatever is alike in them. Queries go to all blocks, in batches; a
@@ -21,7 +21,8 @@ from appmetrics.llm.vectors import directions, matrix, usable
 
 TREES = 64
 BITS = 32
-#: Vectors met before the ascent ends, as a share of the block: counted in each tree, so one may count often.
+#: Vectors met before the ascent ends, as a share of the block: counted in each tree, so one may count often. So
+#: many different ones as are asked for, or all of the block, are met in any case.
 SHARE = 0.8
 #: The planes go through the middle of a sample of this many vectors, those with the least hash of their id.
 SAMPLE = 4096
@@ -37,6 +38,7 @@ class Forest:
         self.ids, self.rows, self.planes, self.middles, self.trees = ids, rows, planes, middles, trees
         self.bits = len(planes) // trees
         codes = self.strings(rows)
+        self.codes = codes
         self.order = np.argsort(codes, axis=1, kind="stable")
         self.sorted = np.take_along_axis(codes, self.order, axis=1)
 
@@ -45,13 +47,19 @@ class Forest:
         sides = (rows @ self.planes.T > self.middles).reshape(len(rows), self.trees, self.bits)
         return (sides @ (np.uint64(1) << np.arange(self.bits - 1, -1, -1, dtype=np.uint64))).T.astype(np.uint64)
 
-    def intervals(self, queries: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+    def intervals(
+        self, queries: np.ndarray, enough: int, query_ids: np.ndarray | None = None, k: int = 0
+    ) -> tuple[np.ndarray, np.ndarray]:
         """(tree, query) -> first and end place of what shares the query's prefix, all trees at one length.
 
-        The length is the greatest at which ``enough`` entries are met in all trees together.
+        The length is the greatest at which ``enough`` entries of ``k`` different vectors are met in all trees
+        together, or all there are. A vector with the query's id counts as neither.
         """
         codes = self.strings(queries)
         low, high = np.zeros(codes.shape, np.int64), np.zeros(codes.shape, np.int64)
+        own = np.full(len(queries), -1) if query_ids is None else self.places(query_ids)
+        others = len(self.ids) - (own >= 0)
+        entries, different = np.minimum(enough, others * self.trees), np.minimum(k, others)
         open_ = np.arange(len(queries))
         for cut in range(self.bits + 1):  # bits not compared: the descent's end first
             prefix = codes[:, open_] >> np.uint64(cut) << np.uint64(cut)
@@ -60,21 +68,40 @@ class Forest:
                 low[t, open_] = np.searchsorted(self.sorted[t], prefix[t])
                 high[t, open_] = np.searchsorted(self.sorted[t], beyond[t])
             met = (high[:, open_] - low[:, open_]).sum(axis=0)
-            open_ = open_[met < enough]
+            mine = self.codes[:, own[open_]]
+            met -= ((own[open_] >= 0) & (mine >= prefix) & (mine < beyond)).sum(axis=0)
+            short = met < entries[open_]
+            # A vector has one entry in a tree at most, so more entries need no count of vectors.
+            for i in np.flatnonzero(~short & (met <= (different[open_] - 1) * self.trees)):
+                found = self.met(low[:, open_[i]], high[:, open_[i]], own[open_[i]])
+                short[i] = found.sum() < different[open_[i]]
+            open_ = open_[short]
             if not len(open_):
                 break
         return low, high
 
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """The row of each id, -1 if it has none."""
+        order = np.argsort(self.ids, kind="stable")
+        at = np.minimum(np.searchsorted(self.ids[order], ids), len(order) - 1)
+        return np.where(self.ids[order[at]] == ids, order[at], -1)
+
+    def met(self, low: np.ndarray, high: np.ndarray, own: int) -> np.ndarray:
+        """Which rows stand between the places of each tree, without the row ``own``."""
+        met = np.zeros(len(self.ids), bool)
+        for t in range(self.trees):
+            met[self.order[t, low[t] : high[t]]] = True
+        if own >= 0:
+            met[own] = False
+        return met
+
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int, share: float):
         """(query id, id, distance) of the nearest found, by exact distance, ties to the smaller id."""
         enough = max(int(np.ceil(share * len(self.ids))), 4 * k)
-        low, high = self.intervals(queries, min(enough, len(self.ids) * self.trees))
+        low, high = self.intervals(queries, enough, query_ids, k)
+        own = self.places(query_ids)
         for q in range(len(queries)):
-            met = np.zeros(len(self.ids), bool)
-            for t in range(self.trees):
-                met[self.order[t, low[t, q] : high[t, q]]] = True
-            met &= self.ids != query_ids[q]
-            found = np.flatnonzero(met)
+            found = np.flatnonzero(self.met(low[:, q], high[:, q], own[q]))
             distance = np.sqrt(((self.rows[found] - queries[q]) ** 2).sum(axis=1))
             best = np.lexsort((self.ids[found], distance))[:k]
             yield from ((query_ids[q], self.ids[found[b]], distance[b]) for b in best)

@@ -84,6 +84,24 @@ def test_forest_takes_the_longest_prefix_that_gives_enough():
         assert ((high - low)[:, q] == met).all()
 
 
+def test_small_tables_are_searched_in_full(spark):
+    random = np.random.default_rng(6)
+    # As many candidates as are asked for, with the defaults: all are found, those of a query's own block too.
+    table = vectors(spark, [(i, v) for i, v in enumerate(random.normal(size=(11, 8)).tolist())])
+    found = {}
+    for r in hash_forest.search(table, table, k=10).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert found == {q: set(range(11)) - {q} for q in range(11)}
+    # One block of up to 80 rows, in which the query itself has an entry in each tree.
+    for n in (2, 11, 62, 80):
+        rows = random.normal(size=(n, 16))
+        planes = random.normal(size=(hash_forest.TREES * hash_forest.BITS, 16))
+        forest = hash_forest.Forest(np.arange(n), rows, planes, np.zeros(len(planes)), hash_forest.TREES)
+        for q in range(n):
+            mine = [v for _, v, _ in forest.nearest(np.array([q]), rows[[q]], 10, hash_forest.SHARE)]
+            assert len(set(mine)) == min(10, n - 1) and q not in mine
+
+
 @pytest.mark.parametrize("threshold", [0.9, 0.5])
 def test_vector_links_of_odd_vectors(spark, threshold):
     listed = odd_vectors(1)
