@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, functions as F
 from appmetrics.functions.scratch import stage
 
 LEVELS = 4
+#: The ranks are final when a stretch of rounds changes none of them by more than this share of itself.
+TOLERANCE = 1e-6
+#: Rounds in a stretch, which ends in a table. The SQL form has ROUNDS in all.
+STRETCH = 5
 ROUNDS = 10
 DAMPING = 0.85
 THRESHOLD = 0.5
@@ -74,10 +78,12 @@ def host_edges(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return counted.unionAll(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust) after ``rounds`` steps; ``seeds``: (host, allowed, blocked), counts of pages.
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """(host, trust, distrust) at the end; ``seeds``: (host, allowed, blocked), counts of pages.
 
-    Both ranks run as one graph with two layers: trust over the edges, distrust over the reversed edges.
+    Both ranks run as one graph with two layers: trust over the edges, distrust over the reversed edges. They
+    end when a stretch of rounds changes no rank by more than ``tolerance`` of itself. The rank of a host that is
+    reached for the first time changes by all of it, so however far a host is from the seeds, it has its ranks.
     """
     two = edges.selectExpr("'t' AS layer", "src", "dst", "weight").unionAll(edges.selectExpr("'d' AS layer", "dst AS src", "src AS dst", "weight"))
     out = two.groupBy("layer", "src").agg(F.sum("weight").alias("total"))
@@ -90,15 +96,20 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
         "seeds",
     )
     rank = start.selectExpr("layer", "host", "jump AS rank")
-    for done in range(1, rounds + 1):
-        moved = (
-            rank.withColumnRenamed("host", "src").join(steps, ["layer", "src"])
-            .selectExpr("layer", "dst AS host", f"{damping!r}D * rank * share AS rank")
-        )
-        jumped = start.selectExpr("layer", "host", f"{1 - damping!r}D * jump AS rank")
-        rank = moved.unionAll(jumped).groupBy("layer", "host").agg(F.sum("rank").alias("rank"))
-        if done % 5 == 0 or done == rounds:
-            rank = stage(rank, "rank")
+    jumped = start.selectExpr("layer", "host", f"{1 - damping!r}D * jump AS rank")
+    moving = True
+    while moving:
+        old = rank.selectExpr("layer", "host", "0D AS rank", "rank AS before")
+        for _ in range(STRETCH):
+            moved = (
+                rank.withColumnRenamed("host", "src").join(steps, ["layer", "src"])
+                .selectExpr("layer", "dst AS host", f"{damping!r}D * rank * share AS rank")
+            )
+            rank = moved.unionAll(jumped).groupBy("layer", "host").agg(F.sum("rank").alias("rank"))
+        both = rank.selectExpr("*", "0D AS before").unionAll(old).groupBy("layer", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before"))
+        both = stage(both, "rank")
+        rank = both.select("layer", "host", "rank")
+        moving = not both.filter(f"abs(rank - before) > {tolerance!r}D * rank").isEmpty()
     return rank.groupBy("host").agg(
         F.sum(F.expr("CASE WHEN layer = 't' THEN rank ELSE 0D END")).alias("trust"),
         F.sum(F.expr("CASE WHEN layer = 'd' THEN rank ELSE 0D END")).alias("distrust"),
@@ -107,7 +118,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
 
 def judge(
     pages: DataFrame, rules, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-    rounds: int = ROUNDS, threshold: float = THRESHOLD,
+    tolerance: float = TOLERANCE, threshold: float = THRESHOLD,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, distrust) for every row of ``pages``; ``distrust`` is the host's, 0 to 1.
 
@@ -134,7 +145,7 @@ def judge(
         "counts",
     )
     edges = stage(host_edges(known.select("host", "html")), "edges")
-    ranks = propagate(edges, seeds, rounds)
+    ranks = propagate(edges, seeds, tolerance)
     share = "coalesce(distrust / nullif(trust + distrust, 0D), 0D)"
     hosts = stage(fitting.join(ranks, "host", "full").selectExpr("host", "rules", f"{share} AS distrust"), "judged")
     return (

@@ -190,6 +190,27 @@ def test_op7_host_path_and_rule(spark):
     assert url_trust.judge(pages, ()).filter("verdict = 'allow' AND rule IS NULL").count() == len(got)
 
 
+def test_op7_reaches_every_host_and_ends_at_the_full_ranks(spark):
+    # Each host links to the one before; the first is blocked. Only distrust reaches the others.
+    pages = [(0, "http://b.net/es/1", None), (1, "http://h1.org/", "<a href='http://b.net/'>")]
+    pages += [(i, f"http://h{i}.org/", f"<a href='http://h{i - 1}.org/'>") for i in range(2, 25)]
+    pages = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.verdict for r in url_trust.judge(pages, RULES).collect()} == {"block"}
+
+    random = np.random.default_rng(8)
+    n = 40
+    weights = (random.random((n, n)) < 0.05) * random.integers(1, 9, (n, n))
+    np.fill_diagonal(weights, 0)
+    edges = spark.createDataFrame([(f"h{a}", f"h{b}", float(weights[a, b])) for a, b in zip(*np.nonzero(weights))], "src string, dst string, weight double")
+    jumps = {"trust": np.eye(n)[[3, 4]].sum(axis=0) / 2, "distrust": np.eye(n)[5]}
+    seeds = spark.createDataFrame([("h3", 2.0, 0.0), ("h4", 2.0, 0.0), ("h5", 0.0, 1.0)], "host string, allowed double, blocked double")
+    got = {r.host: r for r in url_trust.propagate(edges, seeds).collect()}
+    for layer, graph in (("trust", weights), ("distrust", weights.T)):
+        share = graph / np.maximum(graph.sum(axis=1, keepdims=True), 1)
+        want = np.linalg.solve(np.eye(n) - url_trust.DAMPING * share.T, (1 - url_trust.DAMPING) * jumps[layer])
+        assert np.allclose([got[f"h{i}"][layer] if f"h{i}" in got else 0.0 for i in range(n)], want, rtol=1e-5, atol=1e-15)
+
+
 def test_pipeline_stages(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     kept = {}
