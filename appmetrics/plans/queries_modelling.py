@@ -311,11 +311,9 @@ def stars_rbf_machine(spark, sf_dir):
 @CATALOG.add("MOD-9")
 def stars_machine_search(spark, sf_dir):
     train, _ = _labelled_vectors(spark, sf_dir)
-
-    def machine(rows, label, cost):
-        return M.rbf_machine(rows, label, cost=cost, size=16, max_iter=5)
-
-    found = M.random_search(train, "Rating", machine, {"cost": M.log_uniform(1.0, 1e4)}, draws=2, folds=2, key=[P.DRAW])
+    found = M.random_search(
+        train, "Rating", M.mapped_machine, {"cost": M.log_uniform(1.0, 1e4)}, key=[P.DRAW], prepare=M.cosine_map
+    )
     return found.trials.select("trial", "parameters", "score", (F.col("parameters") == str(found.best)).alias("best"))
 
 

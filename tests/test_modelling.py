@@ -1,5 +1,7 @@
 """Encoders against pyspark.ml, models on easy data, evaluation against pyspark.ml evaluators."""
 
+import inspect
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from appmetrics.operators import columns as K, evaluation as V, features as E, models as M
 from appmetrics.plans import preparation as P
+from appmetrics.plans.catalog import all_queries
 from appmetrics.sources.listing_view import listings
 
 
@@ -78,6 +81,43 @@ def test_rbf_machine_and_search(rings):
     assert found.trials.count() == 3 and found.accuracy == max(r["score"] for r in found.trials.collect())
 
 
+def test_search_maps_each_fold_once(rings):
+    maps = []
+
+    def prepare(rows):
+        maps.append(M.cosine_map(rows, size=8))
+        return maps[-1]
+
+    def machine(rows, label, cost):
+        return M.rbf_machine(rows, label, cost=cost, size=8, max_iter=5)
+
+    def mapped(rows, label, cost):
+        return M.mapped_machine(rows, label, cost, max_iter=5)
+
+    rings = rings.withColumn("id", F.monotonically_increasing_id())
+    how = {"draws": 2, "folds": 2, "key": ["id"]}
+    alone = M.random_search(rings, "y", machine, {"cost": [1.0, 100.0]}, **how)
+    shared = M.random_search(rings, "y", mapped, {"cost": [1.0, 100.0]}, prepare=prepare, **how)
+    assert len(maps) == 2 and alone.trials.collect() == shared.trials.collect()
+
+
+def test_registered_search_is_the_whole_search(spark, small, monkeypatch):
+    search, seen = M.random_search, {}
+
+    def called(*args, **how):
+        seen.update(inspect.signature(search).bind(*args, **how).arguments)
+        raise InterruptedError
+
+    monkeypatch.setattr(M, "random_search", called)
+    with pytest.raises(InterruptedError):
+        all_queries()["stars_machine_search"].run(spark, small)
+    default = inspect.signature(search).parameters
+    assert (seen.get("draws", default["draws"].default), seen.get("folds", default["folds"].default)) == (30, 5)
+    assert seen["fit"] is M.mapped_machine and seen["prepare"] is M.cosine_map
+    assert inspect.signature(M.cosine_map).parameters["size"].default == 128
+    assert inspect.signature(M.mapped_machine).parameters["max_iter"].default == 50
+
+
 def test_regressors(spark):
     df = spark.range(400).select((F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("z"))
     rows = E.assemble(df.withColumn("y", F.col("x") * 3 - F.col("z") + 2), ["x", "z"], "y")
