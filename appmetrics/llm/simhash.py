@@ -4,12 +4,12 @@ Fingerprints are linked through a segment-popcount embedding: a fingerprint beco
 counts of its 16 four-bit segments. Two fingerprints at Hamming distance d have vectors at Manhattan
 distance d at most, so only fingerprints whose vectors are that near can link.
 
-The range join on the grid of vectors goes through the cell half way: two vectors at Manhattan distance 2 or
-less share a cell within distance 1 of both. Every distinct fingerprint is dealt to the 33 cells around its
-own; cells with a single fingerprint hold no pair and go. In the others the exact check is made bit by bit in
-the same manner: two fingerprints at Hamming distance 2 or less share a 64-bit value at distance 1 or less of
-both, and that value lies in a shared cell. A value is near 65 fingerprints at most, so no group in this
-operator grows with the data, no pairs within a group are formed, and no link is lost.
+The range join on the grid goes through the cell half way: two vectors at Manhattan distance 2 or less share a
+cell within distance 1 of both. The exact check is made bit by bit in the same manner: two fingerprints at Hamming
+distance 2 or less share a 64-bit value at distance 1 or less of both, and that value lies in a shared cell. So a
+fingerprint is dealt, with each of the 65 values around it, to the value's own cell, and cells are cut by value.
+Every distinct fingerprint has 65 rows at any size of the table, a value is near 65 fingerprints at most, no pairs
+within a group are formed, and no link is lost.
 """
 
 from __future__ import annotations
@@ -17,14 +17,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from appmetrics.functions.scratch import stage
 from appmetrics.llm.batches import bound_batches
 from appmetrics.llm.components import components
 
 SEED = 42
-SEGMENTS = 16
 
 
 def fingerprint(text: bytes | None, shingle_words: int = 3) -> int:
@@ -78,10 +77,6 @@ def cell(value: str) -> str:
     return f"(shiftleft({_counts(f'shiftrightunsigned({value}, 32)')}, 32) | {_counts(f'({value} & 4294967295L)')})"
 
 
-# A cell and those at Manhattan distance 1 (a count stays within 0 to 4).
-CELLS_AROUND = f"""array_compact(concat(array(cell),
-  transform(sequence(0, {SEGMENTS - 1}), j -> CASE WHEN (shiftright(cell, 4 * j) & 15L) < 4 THEN cell + shiftleft(1L, 4 * j) END),
-  transform(sequence(0, {SEGMENTS - 1}), j -> CASE WHEN (shiftright(cell, 4 * j) & 15L) > 0 THEN cell - shiftleft(1L, 4 * j) END)))"""
 VALUES_AROUND = "concat(array(fingerprint), transform(sequence(0, 63), i -> fingerprint ^ shiftleft(1L, i)))"
 
 
@@ -90,15 +85,11 @@ def links(distinct: DataFrame) -> DataFrame:
 
     ``distinct`` holds distinct values in a column ``fingerprint``.
     """
-    dealt = distinct.selectExpr("fingerprint", f"{cell('fingerprint')} AS cell").selectExpr(
-        "fingerprint", f"explode({CELLS_AROUND}) AS cell"
-    )
-    shared = stage(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cell"), "cells")
-    near = dealt.join(shared, "cell")
-    values = near.selectExpr("fingerprint", "cell", f"explode({VALUES_AROUND}) AS value").filter(f"{cell('value')} = cell")
+    dealt = distinct.selectExpr("fingerprint", f"explode({VALUES_AROUND}) AS value")
+    cells = dealt.selectExpr("fingerprint", "value", f"{cell('value')} AS cell")
     # A value has 65 fingerprints around it at most.
-    met = values.groupBy("value").agg(F.collect_set("fingerprint").alias("all")).filter("size(all) > 1")
-    return met.selectExpr("array_min(all) AS b", "explode(all) AS a").filter("a <> b").select("a", "b")
+    least = F.min("fingerprint").over(Window.partitionBy("cell", "value"))
+    return cells.select(F.col("fingerprint").alias("a"), least.alias("b")).filter("a <> b")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
