@@ -11,13 +11,16 @@ from appmetrics.llm import (
     hash_forest,
     kd_shards,
     language_filters,
+    merkle,
     mixing,
     pairwise_quality,
     pieces,
+    pivot_search,
     projection_links,
     repeats,
     simhash,
     url_trust,
+    vector_codes,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -244,3 +247,142 @@ def op1_hash_forest_search(spark, sf_dir):
 def op9_embedding_near_dedup(spark, sf_dir):
     found = projection_links.vector_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9)
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@query
+def op11_pivot_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return pivot_search.search(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+_USABLE_SQL = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+ORACLES["op11_pivot_search"] = f"""
+WITH whole AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings WHERE {_USABLE_SQL})
+SELECT * FROM (
+  SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS INTEGER) AS rank,
+    c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole AS q JOIN whole AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+WHERE rank <= 5
+"""
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = "coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 0, false)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    proofs = merkle.manifest(docs, claims={"text": lower}, claimed_where=tampered).proofs()
+    shown = proofs.selectExpr("id AS doc_id", "leaf", "subroot", "root", f"sha2({merkle.SIBLINGS}, 256) AS proof_sha256", f"{merkle.FOLDED} AS folded_root")
+    return shown.selectExpr("*", "folded_root = root AS verified")
+
+
+def _levels_sql(first: str, group: str, name: str, levels: int) -> list[str]:
+    """Levels of trees, from nodes (group, p, digest, n): each node's neighbours, then the runs' digests."""
+    ctes = [f"{name}0 AS MATERIALIZED ({first})"]
+    for i in range(levels):
+        run = f"PARTITION BY {group}, p // 8 ORDER BY p ROWS BETWEEN"
+        ctes.append(
+            f"""{name}{i}s AS MATERIALIZED (SELECT {group}, p, n,
+  coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{i})"""
+        )
+        ctes.append(
+            f"""{name}{i + 1} AS MATERIALIZED (SELECT {group}, p // 8 AS p, (n + 7) // 8 AS n,
+  CASE WHEN n = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY p)) END AS digest FROM {name}{i} GROUP BY {group}, p // 8, n)"""
+        )
+    return ctes
+
+
+def _folds_sql(first: str, name: str, steps) -> list[str]:
+    """Rows (.., p, folded, proof) folded through the levels ``steps``: (table of neighbours, group, place, next place)."""
+    ctes = [f"{name}0 AS MATERIALIZED ({first})"]
+    for i, (neighbours, on) in enumerate(steps):
+        ctes.append(
+            f"""{name}{i + 1} AS MATERIALIZED (SELECT d.* REPLACE (
+  CASE WHEN s.n = 1 THEN folded ELSE sha256(s.l || folded || s.r) END AS folded, d.proof || s.l || s.r AS proof)
+  FROM {name}{i} AS d JOIN {neighbours} AS s ON {on})"""
+        )
+    return ctes
+
+
+# Enough levels for 8^6 documents of a language and 8^2 languages.
+_DEEP, _WIDE = 6, 2
+
+
+def _merkle_sql() -> str:
+    def leaf(text):
+        fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "list_transform(range(8 * strlen(doc_id::VARCHAR)), lambda i: (ascii(substr(doc_id::VARCHAR, i // 8 + 1, 1)) >> (i % 8)::INTEGER) & 1)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"
+    ctes = [
+        f"""leaves AS MATERIALIZED (SELECT doc_id, coalesce('s' || lang, 'n') AS g, {leaf("text")} AS leaf,
+  CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} END AS claimed FROM documents)""",
+        "placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM leaves)",
+        *_levels_sql("SELECT g, p, n, leaf AS digest FROM placed", "g", "t", _DEEP),
+        f"subroots AS MATERIALIZED (SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS q, count(*) OVER () AS m FROM t{_DEEP})",
+        *_levels_sql("SELECT 0 AS a, q AS p, m AS n, subroot AS digest FROM subroots", "a", "u", _WIDE),
+        *_folds_sql(
+            "SELECT doc_id, leaf, g, p, q, subroot, coalesce(claimed, leaf) AS folded, '' AS proof FROM placed JOIN subroots USING (g)",
+            "f",
+            [(f"t{i}s", f"s.g = d.g AND s.p = d.p // {8**i}") for i in range(_DEEP)] + [(f"u{i}s", f"s.p = d.q // {8**i}") for i in range(_WIDE)],
+        ),
+    ]
+    return (
+        "WITH "
+        + ",\n".join(ctes)
+        + f"""
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM f{_DEEP + _WIDE} CROSS JOIN u{_WIDE}
+"""
+    )
+
+
+ORACLES["op12_merkle_manifest"] = _merkle_sql()
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    digest = F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256")
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest)
+
+
+def _codes_sql() -> str:
+    def assigned(i):
+        return f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, label, part, v, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT p.*, b.entry, CAST(list_sum(list_transform(list_zip(p.v, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM parts AS p JOIN b{i} AS b USING (part)) GROUP BY vec_id, label, part, v)"""
+
+    ctes = [
+        f"""whole AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE {_USABLE_SQL})""",
+        "parts AS MATERIALIZED (SELECT vec_id, label, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS v FROM whole, (SELECT unnest(range(4)) AS part))",
+        """b0 AS MATERIALIZED (SELECT part, entry, v AS c FROM (
+  SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM parts) WHERE entry < 256)""",
+    ]
+    for i in range(vector_codes.ROUNDS):
+        ctes += [
+            assigned(i),
+            f"""b{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, b.c) AS c FROM b{i} AS b LEFT JOIN (
+  SELECT part, entry, list(mean ORDER BY pos) AS c FROM (
+    SELECT part, entry, pos, floor(sum(x) / count(*)::DOUBLE)::BIGINT AS mean
+    FROM (SELECT part, entry, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{i}) GROUP BY ALL) GROUP BY ALL) AS m USING (part, entry))""",
+        ]
+    last = vector_codes.ROUNDS
+    ctes += [
+        assigned(last),
+        f"digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{last})",
+        f"coded AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{last} GROUP BY ALL)",
+    ]
+    return "WITH " + ",\n".join(ctes) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded CROSS JOIN digest
+"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
