@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from appmetrics.functions.scratch import scratch_path, stage
 from appmetrics.operators import evaluation as V, features as E, models as M
+from appmetrics.operators.machines import vote
 from appmetrics.plans import preparation as P
 from appmetrics.plans.catalog import CATALOG, INSTALLS_SQL, SIZE_SQL, YEAR_SQL, listing_sql, rounded
 from appmetrics.plans.insights import insights
@@ -311,12 +312,27 @@ def stars_rbf_machine(spark, sf_dir):
 @CATALOG.add("MOD-9")
 def stars_machine_search(spark, sf_dir):
     train, _ = _labelled_vectors(spark, sf_dir)
-    found = M.random_search(
-        train, "Rating", M.mapped_machine, {"cost": M.log_uniform(1.0, 1e4)}, key=[P.DRAW], prepare=M.cosine_map
-    )
+    found = M.machine_search(train, "Rating", M.log_uniform(1.0, 1e4), key=[P.DRAW])
     return found.trials.select("trial", "parameters", "score", (F.col("parameters") == str(found.best)).alias("best"))
 
 
+_MARGINS = ("l_quantity - 25", "l_discount * 100 - 5", "l_tax * 100 - 4")
+
+
+@CATALOG.add(
+    "MOD-8",
+    sql=f"""SELECT prediction, count(*) AS rows FROM (SELECT CASE WHEN zero >= one AND zero >= two THEN 0.0::DOUBLE WHEN one >= two THEN 1.0 ELSE 2.0 END AS prediction
+    FROM (SELECT (m01 <= 0)::INTEGER + (m02 <= 0)::INTEGER AS zero, (m01 > 0)::INTEGER + (m12 <= 0)::INTEGER AS one,
+      (m02 > 0)::INTEGER + (m12 > 0)::INTEGER AS two
+    FROM (SELECT round({_MARGINS[0]}, 6) AS m01, round({_MARGINS[1]}, 6) AS m02, round({_MARGINS[2]}, 6) AS m12 FROM lineitem))) GROUP BY 1""",
+)
+def votes_of_given_margins(spark, sf_dir):
+    """Three classes, three pairs, so some rows have a vote each: the lowest class takes them."""
+    margins = ", ".join(f"round({m}, 6)" for m in _MARGINS)
+    rows = driver_table(spark, sf_dir, "lineitem").selectExpr(f"array({margins}) AS margins")
+    return rows.groupBy(vote("margins", [0.0, 1.0, 2.0]).alias("prediction")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @CATALOG.add("SNK-4", sql="SELECT count(*) AS rows, count(*) AS equal FROM part")
 def reloaded_model(spark, sf_dir):
     rows = E.assemble(driver_table(spark, sf_dir, "part"), ["p_size"], "p_retailprice")
