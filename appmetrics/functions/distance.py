@@ -32,19 +32,3 @@ def nearest(features, centers) -> Column:
 
 def nearest_cluster(features, centers) -> Column:
     return nearest(features, centers)["cluster"]
-
-
-def nearest_squared_distance(features, centers) -> Column:
-    return nearest(features, centers)["distance"]
-
-
-def jaccard_bits(left, right) -> Column:
-    """Jaccard distance of two bit masks; two empty masks are at distance 0."""
-    both = F.bit_count(field(left).bitwiseAND(field(right)))
-    either = F.bit_count(field(left).bitwiseOR(field(right)))
-    return F.when(either == 0, F.lit(0.0)).otherwise(F.lit(1.0) - both / either)
-
-
-def euclidean_bits(left, right) -> Column:
-    """Euclidean distance of two 0/1 vectors held as bit masks."""
-    return F.sqrt(F.bit_count(field(left).bitwiseXOR(field(right))).cast("double"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from appmetrics.functions.distance import euclidean
-from appmetrics.operators import clustering as K, density as D, features as E
+from appmetrics.operators import clustering as K, density as D, features as E, silhouettes as S
 from appmetrics.plans.catalog import CATALOG, SIZE_SQL, listing_sql, rounded
 from appmetrics.plans.preparation import flag_listings, kmeans_listings, lloyd_listings
 from appmetrics.sources.listing_view import listings
@@ -165,6 +167,104 @@ def _shape_frame(spark, sf_dir, rating_value=False):
     return kmeans_listings(listings(spark, sf_dir, *columns, busy=True), rating_value)
 
 
+def _seed_ctes(k: int, width: int, seed: int) -> list[str]:
+    """c0 .. c<k-1>, one row each: points (f0.., w) raced by their weighted squared distance to the nearest center so far."""
+    parts = ", ".join(f"CAST(CAST(round(f{j}, 6) AS DECIMAL(38, 6)) AS VARCHAR)" for j in range(width))
+    names = ", ".join(f"f{j}" for j in range(width))
+    ctes = ["p0 AS MATERIALIZED (SELECT *, 1.0::DOUBLE AS pull FROM points)"]
+    for i in range(k):
+        draw = f"(('0x' || left(md5(concat_ws('|', '{seed + i}', {parts})), 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE"
+        ctes.append(f"c{i} AS MATERIALIZED (SELECT {names} FROM p{i} WHERE pull > 0 ORDER BY -ln({draw}) / (w * pull), {names} LIMIT 1)")
+        new = " + ".join(f"pow(p.f{j} - c.f{j}, 2)" for j in range(width))
+        ctes.append(f"p{i + 1} AS MATERIALIZED (SELECT p.* REPLACE ({new if i == 0 else f'least(p.pull, {new})'} AS pull) FROM p{i} AS p, c{i} AS c)")
+    return ctes
+
+
+@CATALOG.add(
+    "CL-2",
+    "SMP-5",
+    sql=listing_sql(
+        " UNION ALL ".join(
+            f'SELECT {i} AS cluster, round(f0, 4) AS "Rating", round(f1, 4) AS "Maximum Installs", round(f2, 4) AS "Size" FROM c{i}' for i in range(4)
+        ),
+        _POINTS,
+        *_seed_ctes(4, 3, 1),
+    ),
+)
+def seeded_centers(spark, sf_dir):
+    """Four centers drawn one by one, each by its distance to those before it."""
+    df = _lloyd_frame(spark, sf_dir)
+    return rounded(K.centers_frame(df, K.Clusters(_FEATURES, K.kmeans_plus_plus(df, _FEATURES, 4, seed=1))), *_FEATURES)
+
+
+_SWEEP = {k: _STARTS[:k] for k in range(1, 5)}
+
+
+def _sweep_ctes(steps: int) -> list[str]:
+    """The steps of every k, one after the other: k<k>s<step>."""
+    ctes = [_RATINGS]
+    for k, centers in _SWEEP.items():
+        ctes += [c.replace("s0 AS", f"k{k}s0 AS", 1) if c.startswith("s0") else re.sub(r"\bs(\d+)\b", rf"k{k}s\1", c) for c in _lloyd_ctes(_RATINGS, centers, steps)[1:]]
+    return ctes
+
+
+def _cost_sql(k: int, step: int) -> str:
+    least = "least(" + ", ".join(f"pow(f0 - c{i}_0, 2)" for i in range(k)) + ")" if k > 1 else "pow(f0 - c0_0, 2)"
+    return f"SELECT {k} AS k, round(sum(w * {least}), 2) AS cost FROM points, k{k}s{step}"
+
+
+@CATALOG.add("CL-4", sql=listing_sql(" UNION ALL ".join(_cost_sql(k, 20) for k in _SWEEP), *_sweep_ctes(20)))
+def elbow_from_given_centers(spark, sf_dir):
+    found = K.elbow(listings(spark, sf_dir, "Rating"), ["Rating"], starts=_SWEEP, max_iter=20)
+    return rounded(found.curve, "cost", digits=2)
+
+
+def _silhouette_sql(width: int, clusters: str) -> str:
+    """Mean score from all pairs of the distinct points of ``clusters`` (f0.., w, cluster)."""
+    gap = " + ".join(f"pow(x.f{j} - y.f{j}, 2)" for j in range(width))
+    names = ", ".join(f"x.f{j}" for j in range(width))
+    return f"""SELECT round(sum(w * CASE WHEN size = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) / sum(w), 4) AS silhouette FROM (
+    SELECT any_value(w) AS w, max(size) FILTER (own) AS size, max(d / nullif(size - 1, 0)) FILTER (own) AS a, min(d / size) FILTER (NOT own) AS b FROM (
+      SELECT {names}, x.cluster, x.w, x.cluster = y.cluster AS own, sum(y.w) AS size, sum(y.w * sqrt({gap})) AS d
+      FROM {clusters} AS x, {clusters} AS y GROUP BY {names}, x.cluster, x.w, y.cluster) GROUP BY {names.replace("x.", "")}, cluster)"""
+
+
+@CATALOG.add(
+    "CL-9",
+    "CL-10",
+    sql=listing_sql(
+        _silhouette_sql(1, "placed"),
+        *_lloyd_ctes(_RATINGS, _STARTS, 20),
+        f"placed AS MATERIALIZED (SELECT f0, w, CAST({_nearest_sql(1, 4)} AS BIGINT) AS cluster FROM points, s20)",
+    ),
+)
+def rating_silhouette(spark, sf_dir):
+    """Plain Euclidean silhouette of the ratings' clusters."""
+    df = listings(spark, sf_dir, "Rating")
+    placed = K.lloyd(df, ["Rating"], _STARTS, max_iter=20).assign(df)
+    return rounded(S.euclidean_silhouette(S.silhouette_points(placed, ["Rating"]), 1), "silhouette")
+
+
+@CATALOG.add(
+    "CL-10",
+    sql=listing_sql(
+        _silhouette_sql(2, "placed"),
+        """placed AS MATERIALIZED (SELECT "Rating" AS f0, CAST("Free" AS INTEGER)::DOUBLE AS f1, CAST(floor("Rating") AS BIGINT) AS cluster, count(*)::DOUBLE AS w
+        FROM apps WHERE "Rating" IS NOT NULL AND "Free" IS NOT NULL GROUP BY ALL)""",
+    ),
+)
+def stars_silhouette(spark, sf_dir):
+    """How well whole stars part the listings by rating and price flag."""
+    df = listings(spark, sf_dir, "Rating", "Free").selectExpr("Rating", "cast(Free AS int) AS Free", "cast(floor(Rating) AS bigint) AS stars")
+    return rounded(S.euclidean_silhouette(S.silhouette_points(df, ["Rating", "Free"], "stars"), 2), "silhouette")
+
+
+@CATALOG.add("CL-10")
+def rating_silhouettes_plain(spark, sf_dir):
+    found = K.plain_silhouette(listings(spark, sf_dir, "Rating"), ["Rating"], 10, seed=1)
+    return found.curve.withColumn("best", F.col("k") == found.best)
+
+
 @CATALOG.add("CL-2", "SMP-5")
 def kmeans_plus_plus_centers(spark, sf_dir):
     df = _shape_frame(spark, sf_dir)

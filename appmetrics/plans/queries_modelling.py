@@ -7,7 +7,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
 from appmetrics.functions.scratch import scratch_path, stage
-from appmetrics.operators import evaluation as V, features as E, models as M
+from appmetrics.operators import evaluation as V, features as E, models as M, penalised as N
 from appmetrics.operators.machines import vote
 from appmetrics.plans import preparation as P
 from appmetrics.plans.catalog import CATALOG, INSTALLS_SQL, SIZE_SQL, YEAR_SQL, listing_sql, rounded
@@ -265,6 +265,34 @@ def installs_elastic_net(spark, sf_dir):
     return M.linear_summary(train, M.elastic_net(train, "Installs"))
 
 
+_STRENGTHS = [30000.0, 3000.0, 0.3]
+
+
+@CATALOG.add(
+    "MOD-2",
+    "EVA-2",
+    sql=f"""SELECT strength, round(slope, 3) AS slope, round(ymean - slope * xmean, 3) AS intercept,
+      round(sqrt(yvar - 2 * slope * xy + slope * slope * xvar), 2) AS rmse, round(1 - (yvar - 2 * slope * xy + slope * slope * xvar) / yvar, 4) AS r2
+    FROM (SELECT *, sign(r) * greatest(abs(r) - 0.8::DOUBLE * strength / sy, 0) / (xvar / (sx * sx) + 0.2::DOUBLE * strength / sy) * sy / sx AS slope
+      FROM (SELECT *, xy / (sx * sy) AS r, unnest([{", ".join(f"{v}::DOUBLE" for v in _STRENGTHS)}]) AS strength
+        FROM (SELECT covar_pop(l_extendedprice, l_quantity) AS xy, stddev_samp(l_quantity) AS sx, stddev_samp(l_extendedprice) AS sy,
+          var_pop(l_quantity) AS xvar, var_pop(l_extendedprice) AS yvar, avg(l_quantity) AS xmean, avg(l_extendedprice) AS ymean FROM lineitem)))""",
+)
+def price_elastic_net_path(spark, sf_dir):
+    """With one feature the solution is a soft threshold."""
+    rows = E.assemble(driver_table(spark, sf_dir, "lineitem"), ["l_quantity"], "l_extendedprice")
+    lines = N.path_frame(rows, N.elastic_net_path(N.moments(rows, "l_extendedprice"), _STRENGTHS))
+    shown = lines.selectExpr("strength", "coefficients[0] AS slope", "intercept", "rmse", "r2")
+    return rounded(rounded(rounded(shown, "slope", "intercept", digits=3), "rmse", digits=2), "r2")
+
+
+@CATALOG.add("MOD-2", "EVA-2")
+def installs_elastic_net_path(spark, sf_dir):
+    """Ten strengths from one pass over the training rows."""
+    train, _ = _vectors(spark, sf_dir, "Installs")
+    return N.path_frame(train, N.elastic_net_path(N.moments(train, "Installs"), [0.3 * 4.0**i for i in range(9, -1, -1)]))
+
+
 @CATALOG.add("MOD-4", "EVA-1")
 def rating_forest(spark, sf_dir):
     train, test = _vectors(spark, sf_dir, "Rating")

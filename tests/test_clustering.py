@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from appmetrics.operators import clustering as K, density as D
+from appmetrics.operators import clustering as K, density as D, silhouettes as S
 
 
 @pytest.fixture(scope="module")
@@ -122,10 +122,81 @@ def test_density_matches_brute_force(spark, metric, eps, min_points, seed):
     assert abs(score - total / len(points)) < 1e-9
 
 
-def test_too_many_flags(spark):
-    df = spark.range(3).select(*[F.lit(1).alias(f"c{i}") for i in range(13)])
-    with pytest.raises(ValueError):
-        D.pattern_clusters(df, df.columns)
+@pytest.mark.parametrize("width,metric,eps", [(20, "jaccard", 0.4), (20, "euclidean", 1.5), (40, "jaccard", 0.6), (70, "euclidean", 2.3), (5, "jaccard", 1.0), (2, "euclidean", 2.0)])
+def test_density_of_many_flags(spark, width, metric, eps):
+    rng = random.Random(width)
+    seeds = [[int(rng.random() < 0.3) for _ in range(width)] for _ in range(8)] + [[0] * width]
+    points = []
+    for _ in range(150):
+        p = list(rng.choice(seeds))
+        for i in rng.sample(range(width), rng.choice([0, 0, 1, 2])):
+            p[i] ^= 1
+        points.append(tuple(p))
+    df = spark.createDataFrame([*points, (None,) + (0,) * (width - 1)], ", ".join(f"`c.{i}` int" for i in range(width)))
+    columns = df.columns
+    rows = D.density_clusters(df, columns, eps, 6, metric).collect()
+    assert [r["cluster"] for r in rows if r["c.0"] is None] == [None]
+    got = {tuple(r[c] for c in columns): r["cluster"] for r in rows if r["c.0"] is not None}
+    core, label, reach = brute_dbscan(points, {"jaccard": jaccard, "euclidean": euclid}[metric], eps, 6)
+    names = {}
+    for p, c, l in zip(points, core, label):
+        if c:
+            assert names.setdefault(l, got[p]) == got[p]
+    assert len(set(names.values())) == len(names)
+    for p, c, r in zip(points, core, reach):
+        if not c:
+            assert got[p] == (min(names[x] for x in r) if r else D.NOISE)
+    score = D.pattern_silhouette(D.pattern_clusters(df, columns, eps, 6, metric), width).first()[0]
+    want = brute_silhouette(points, [got[p] for p in points])
+    assert (score is None and want is None) or abs(score - want) < 1e-9
+
+
+def brute_silhouette(points, labels):
+    if len(set(labels)) < 2:
+        return None
+    points, labels = np.array(points, float), np.array(labels)
+    gaps = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    total = 0.0
+    for i in range(len(points)):
+        mine = labels == labels[i]
+        if mine.sum() == 1:
+            continue
+        a = gaps[i, mine].sum() / (mine.sum() - 1)
+        b = min(gaps[i, labels == other].mean() for other in set(labels) - {labels[i]})
+        total += (b - a) / max(a, b) if max(a, b) else 0.0
+    return total / len(points)
+
+
+@pytest.mark.parametrize("width,block_rows", [(1, 4096), (2, 4096), (2, 30), (3, 17)])
+def test_plain_silhouettes_match_brute_force(spark, width, block_rows):
+    rng = np.random.default_rng(width)
+    points = np.round(rng.normal(size=(140, width)) * 3, 1)
+    labels = [int(abs(p[0])) % 4 if i else 9 for i, p in enumerate(points)]  # one alone in its cluster
+    rows = [(*map(float, p), int(l)) for p, l in zip(points, labels)] * 2 + [(None,) * width + (1,), (float("nan"),) * width + (1,)]
+    rows = rows[1:]
+    df = spark.createDataFrame(rows, ", ".join(f"x{i} double" for i in range(width)) + ", cluster long").repartition(6)
+    found = S.euclidean_silhouette(S.silhouette_points(df, [f"x{i}" for i in range(width)]), width, block_rows).first()[0]
+    assert abs(found - brute_silhouette([r[:-1] for r in rows[:-2]], [r[-1] for r in rows[:-2]])) < 1e-9
+
+
+def test_silhouettes_without_a_second_cluster(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 0)], "x double, cluster long")
+    assert S.euclidean_silhouette(S.silhouette_points(df, ["x"]), 1).first()[0] is None
+    none = df.limit(0).withColumn("y", F.col("x"))
+    for names in (["x"], ["x", "y"]):
+        assert S.euclidean_silhouette(S.silhouette_points(none, names), len(names)).first()[0] is None
+
+
+def test_sweep_of_all_k_is_lloyd_of_each(blobs):
+    starts = {k: [[0.0, 1.0], [1.0, 0.0], [6.0, 6.0], [2.0, 2.0]][:k] for k in (1, 2, 4)}
+    points = K.weighted_points(blobs, ["x", "y"]).persist()
+    found = K.lloyd_sweep(points, ["x", "y"], starts, max_iter=20)
+    for k, centers in starts.items():
+        alone = K.lloyd(blobs, ["x", "y"], centers, max_iter=20)
+        assert np.allclose(found[k][0], alone.centers)
+        assert abs(found[k][1] - K.lloyd_step(points, ["x", "y"], alone.centers)[1]) < 1e-6
+    plain = K.plain_silhouette(blobs, ["x", "y"], 6, seed=1)
+    assert plain.best == 3
 
 
 def test_rows_with_nan_have_no_cluster(spark):

@@ -6,13 +6,14 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from appmetrics.operators import columns as K, evaluation as V, features as E, models as M
-from appmetrics.operators import machines as X
+from appmetrics.operators import machines as X, penalised as N
 from appmetrics.plans import preparation as P
 from appmetrics.plans.catalog import all_queries
 from appmetrics.sources.listing_view import listings
@@ -173,6 +174,23 @@ def test_regressors(spark):
     assert summary["r2"] > 0.98 and len(summary["objective_history"]) == summary["iterations"] + 1
 
 
+@pytest.mark.parametrize("l1_share", [0.0, 0.8, 1.0])
+def test_penalised_path_is_the_librarys(spark, l1_share):
+    random = np.random.default_rng(3)
+    x = random.normal(size=(300, 5)) * [1, 10, 0.1, 3, 0] + [0, 5, 1, -2, 7]  # correlated, differently scaled, one constant
+    x[:, 3] += x[:, 1]
+    y = x @ [1.0, 0.3, -4.0, 0.0, 2.0] + random.normal(size=300)
+    df = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["features", "y"])
+    odd = df.unionAll(spark.createDataFrame([(Vectors.dense([1.0] * 5), None)], df.schema))
+    for line in N.elastic_net_path(N.moments(odd, "y"), [5.0, 0.3, 0.0], l1_share):
+        model = LinearRegression(labelCol="y", regParam=line.strength, elasticNetParam=l1_share, tol=1e-12, maxIter=1000, solver="l-bfgs").fit(df)
+        assert np.allclose(line.coefficients, model.coefficients.toArray(), atol=1e-6) and abs(line.intercept - model.intercept) < 1e-5
+        assert abs(line.rmse - model.summary.rootMeanSquaredError) < 1e-6 and abs(line.r2 - model.summary.r2) < 1e-6
+        assert abs(line.objective_history[-1] - model.summary.objectiveHistory[-1]) < 1e-6
+    with pytest.raises(ValueError):
+        N.moments(df.limit(0), "y")
+
+
 def test_metrics_match_builtin(spark):
     rows = [(float(i % 4), float((i * i) % 5)) for i in range(101)]
     df = spark.createDataFrame(rows, "label double, prediction double")
