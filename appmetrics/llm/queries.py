@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from appmetrics.functions.scratch import stage
+from appmetrics.llm.batches import bound_batches
 from appmetrics.llm import (
     hash_forest,
     kd_shards,
@@ -140,6 +141,7 @@ def op10_language_id(spark, sf_dir):
 def op8_quality_ranking(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", F.expr(HELD_OUT))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    bound_batches(spark)
     # One pass over the texts serves the fit and the scores.
     made = stage(docs.select("doc_id", "held_out", pairwise_quality.feature_array(F.col("text")).alias("values")), "features")
     ranking = pairwise_quality.fit(pairwise_quality.labelled(made.filter("NOT held_out"), labels))
