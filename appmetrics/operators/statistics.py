@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import accumulate, combinations
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -66,12 +66,16 @@ def _spearman(df: DataFrame, pairs) -> DataFrame:
     sides = cells.selectExpr("pair", "w", "inline(array(struct(0 AS side, a AS v), struct(1 AS side, b AS v)))")
     ties = sides.groupBy("pair", "side", "v").agg(F.sum("w").alias("ties"))
     upto = stage(running_totals(ties, [F.col("pair"), F.col("side"), F.col("v")], "ties", "upto"), "ranks")
-    starts = upto.groupBy("pair", "side").agg(F.min(F.expr("upto - ties")).alias("start"), F.sum("ties").alias("n"))
+    # One number for each pair travels to the driver: both sides of a pair have its rows, so they tell where each begins.
+    counted = {r["pair"]: r["n"] for r in cells.groupBy("pair").agg(F.sum("w").alias("n")).collect()}
+    sizes = [counted.get(i, 0) for i in range(len(pairs))]
+    begins = [2 * total for total in accumulate([0, *sizes[:-1]])]
+    size, begin = (f"get(array({', '.join(f'{v}L' for v in numbers)}), pair)" for numbers in (sizes, begins))
     # distance of the mean rank from the middle rank
-    ranks = upto.join(starts, ["pair", "side"]).selectExpr(
-        "pair", "side", "v", "n", "upto - start - (ties - 1) / 2D - (n + 1) / 2D AS rank"
+    ranks = upto.selectExpr(
+        "pair", "side", "v", f"upto - ({begin} + side * {size}) - (ties - 1) / 2D - ({size} + 1) / 2D AS rank"
     )
-    left = ranks.filter("side = 0").selectExpr("pair", "v AS a", "rank AS ra", "n")
+    left = ranks.filter("side = 0").selectExpr("pair", "v AS a", "rank AS ra")
     right = ranks.filter("side = 1").selectExpr("pair", "v AS b", "rank AS rb")
     found = (
         cells.join(left, ["pair", "a"])
