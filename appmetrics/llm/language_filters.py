@@ -1,12 +1,13 @@
-"""Language identification with one Bloom filter of letter n-grams per language, bit-sliced.
+"""Language identification with Bloom filters of letter n-grams by language, bit-sliced.
 
-All filters have the same size and hash functions. Bit ``l`` of slot ``s`` of one table says whether slot ``s``
-of language ``l``'s filter is set, so the masks at an n-gram's slots, and-ed, name all languages that contain it
-at once. A text's n-grams are counted per language, the counts are corrected for the filters' known rates of false
-positives, and the language with the largest corrected count is chosen.
+All filters have the same size and hash functions. A slot of the one table holds a byte of bits for each language: the
+masks at an n-gram's slots, and-ed, name all languages that contain it at once. Every n-gram that a language's texts hold
+is in its first filter, however rare. Where labels are wrong or texts quote, nearly every n-gram is somewhere in every
+language; so a language has a filter for each of ``LEVELS`` levels, the higher ones for the n-grams with at least a certain
+share of its n-grams, and the bits of its byte say how common the n-gram is there. The bits of a text's n-grams are
+counted per language, corrected for the filters' known rates of false positives, and the most bits decide.
 
-An n-gram is in a language's filter if its share of that language's n-grams is at least ``rivals`` of its
-largest share in any language: what is rare by comparison (names, quotations, wrong labels) is not.
+The filters' size follows from the distinct n-grams of the language that has most, so that none fills up.
 """
 
 from __future__ import annotations
@@ -20,10 +21,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from appmetrics.functions.scratch import stage
 from appmetrics.llm.batches import bound_batches
 
-SLOTS = 1 << 18  # of the table; it is a model's only part that travels to every task, and does not grow
+#: Slots for each distinct n-gram of the language that has most: about one n-gram in 80 is a false positive then.
+#: The table is a model's only part that travels to every task: a byte for each slot and language.
+ROOM = 10
+#: A byte of bits. Level 0 has all n-grams, level j those with a share of ``STEP ** (j - LEVELS - 2)`` or more.
+LEVELS = 8
+STEP = 4.0
 HASHES = 4
-LEAST_SHARE = 1e-6
-RIVALS = 0.5
 CHUNK_CHARS = 2_000_000
 KEPT_GRAMS = 1_000_000
 UNDETERMINED = "und"
@@ -54,7 +58,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return made, counts
 
 
-def slots(codes: np.ndarray, size: int = SLOTS, hashes: int = HASHES) -> list[np.ndarray]:
+def slots(codes: np.ndarray, size: int, hashes: int = HASHES) -> list[np.ndarray]:
     """The slots of each n-gram, one array per hash function."""
     out = []
     for i in range(hashes):
@@ -79,27 +83,38 @@ def _texts(batch, column: int):
 
 @dataclass(frozen=True)
 class Filters:
-    """Languages in code point order, the table (slots, words of 64 languages), false positives by language."""
+    """Languages in code point order, the table (slots, languages), false positives by (language, level)."""
 
     languages: list[str]
     table: np.ndarray
     false_positives: np.ndarray
     commonest: str | None
+    hashes: int = HASHES
 
-    def decide(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        codes, counts = grams(texts)
-        masks = self.table[slots(codes, len(self.table))[0].astype(np.int64)]
-        for s in slots(codes, len(self.table))[1:]:
+    def masks(self, codes: np.ndarray) -> np.ndarray:
+        """(n-gram, language) -> bits of the levels at which the language holds it."""
+        first, *others = slots(codes, len(self.table), self.hashes)
+        masks = self.table[first.astype(np.int64)]
+        for s in others:
             masks &= self.table[s.astype(np.int64)]
+        return masks
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams of each text, and (text, language) -> bits for each of them, corrected, as a share of all."""
+        codes, counts = grams(texts)
+        masks = self.masks(codes)
         starts = np.cumsum(counts) - counts
         some = np.flatnonzero(counts)
         scores = np.zeros((len(texts), len(self.languages)))
-        for at in range(len(self.languages)):
-            hit = (masks[:, at // 64] >> np.uint64(at % 64)) & np.uint64(1)
-            if len(some):
-                found = np.add.reduceat(hit, starts[some]).astype(float)
-                false = self.false_positives[at]
-                scores[some, at] = np.clip((found / counts[some] - false) / max(1 - false, 1e-9), 0, 1)
+        bits = np.arange(256)[:, None] >> np.arange(LEVELS) & 1
+        for at in range(len(self.languages) if len(some) else 0):
+            false = np.minimum(self.false_positives[at], 0.999)
+            found = np.add.reduceat((bits @ (1 / (1 - false)))[masks[:, at]], starts[some])
+            scores[some, at] = np.clip((found / counts[some] - (false / (1 - false)).sum()) / LEVELS, 0, 1)
+        return counts, scores
+
+    def decide(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        counts, scores = self.counts(texts)
         best = scores.argmax(axis=1) if self.languages else np.zeros(len(texts), int)
         names, values = [], []
         for i, b in enumerate(best.tolist()):
@@ -112,16 +127,12 @@ class Filters:
         return names, values
 
 
-def learn(
-    docs: DataFrame,
-    text_col: str = "text",
-    lang_col: str = "lang",
-    size: int = SLOTS,
-    hashes: int = HASHES,
-    least_share: float = LEAST_SHARE,
-    rivals: float = RIVALS,
-) -> Filters:
-    """Filters from all rows of ``docs`` whose language is not null; no such row gives filters without languages."""
+def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", room: int = ROOM, hashes: int = HASHES) -> Filters:
+    """Filters from all rows of ``docs`` whose language is not null; no such row gives filters without languages.
+
+    Null and empty texts, and texts without a letter, add no n-gram; a language that has only such texts is
+    not learned. Repeated rows count as often as they stand. Texts of any length are read whole.
+    """
     bound_batches(docs.sparkSession)
     rows = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
@@ -158,42 +169,31 @@ def learn(
         rows.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams"
     )
     # One row per language.
-    totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    sums = counted.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("grams")).collect()
+    totals = {r["lang"]: r["n"] for r in sums}
     languages = sorted(totals)
+    size = 1 << (room * max((r["grams"] for r in sums), default=1) - 1).bit_length()
     if not languages:
-        return Filters([], np.zeros((size, 1), np.uint64), np.zeros(0), None)
+        return Filters([], np.zeros((size, 0), np.uint8), np.zeros((0, LEVELS)), None, hashes)
     number = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])
     total = F.create_map(*[F.lit(x) for lang in languages for x in (lang, float(totals[lang]))])
-    shares = counted.select(number[F.col("lang")].alias("at"), "gram", (F.col("n") / total[F.col("lang")]).alias("share"))
-    # An n-gram has a row per language at most.
-    kept = (
-        shares.groupBy("gram")
-        .agg(F.max("share").alias("most"), F.collect_list(F.struct("at", "share")).alias("all"))
-        .filter(F.col("most") >= least_share)
-        .select("gram", F.expr(f"transform(filter(all, x -> x.share >= {rivals} * most), x -> x.at)").alias("at"))
-    )
+    known = counted.select("gram", number[F.col("lang")].alias("at"), (F.col("n") / total[F.col("lang")]).alias("share"))
+    least = STEP ** (np.arange(1, LEVELS) - LEVELS - 2)
 
     def set_bits(batches):
         for batch in batches:
             codes = np.asarray(batch.column(0)).view(np.uint64)
-            lists = batch.column(1)
-            repeats = np.diff(np.asarray(lists.offsets))
-            at = np.asarray(lists.flatten())
-            for s in slots(np.repeat(codes, repeats), size, hashes):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(s.astype(np.int64)), pa.array((at // 64).astype(np.int32)), pa.array(np.left_shift(np.uint64(1), (at % 64).astype(np.uint64)).view(np.int64))],
-                    ["slot", "word", "mask"],
-                )
+            levels = np.searchsorted(least, np.asarray(batch.column(2)), side="right") + 1
+            mask = pa.array(((1 << levels) - 1).astype(np.int32))
+            for s in slots(codes, size, hashes):
+                yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int64)), batch.column(1), mask], ["slot", "at", "mask"])
 
-    words = (len(languages) + 63) // 64
-    table = np.zeros((size, words), np.uint64)
-    # Bounded by the table's size.
-    for slot, word, mask in (
-        kept.mapInArrow(set_bits, "slot bigint, word int, mask bigint").groupBy("slot", "word").agg(F.bit_or("mask")).collect()
-    ):
-        table[slot, word] = mask & (1 << 64) - 1
-    full = np.array([((table[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(languages))])
-    return Filters(languages, table, full**hashes, max(languages, key=lambda x: (totals[x], x)))
+    # As many rows as the table has bytes at most.
+    filled = known.mapInArrow(set_bits, "slot bigint, at int, mask int").groupBy("slot", "at").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table = np.zeros((size, len(languages)), np.uint8)
+    table[filled["slot"].to_numpy(), filled["at"].to_numpy()] = filled["mask"].to_numpy()
+    full = np.stack([(table >> level & 1).mean(axis=0) for level in range(LEVELS)], axis=1)
+    return Filters(languages, table, full**hashes, max(languages, key=lambda x: (totals[x], x)), hashes)
 
 
 def _summed(parts) -> tuple[np.ndarray, np.ndarray]:
@@ -202,11 +202,12 @@ def _summed(parts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def identify(filters: Filters, text: Column) -> Column:
-    """struct<lang, score> of a text: a learned language, and the share of its n-grams that language's filter holds.
+    """struct<lang, score> of a text: a learned language, and its bits for the text's n-grams as a share of all levels.
 
     A text that is null or has no letter, and any text when no language was learned, is ``und`` with score 0. Equal
     counts go to the language first in code point order; if no language holds any n-gram of a text, it is the
-    commonest one, with score 0.
+    commonest one, with score 0. Each row has its own result, so equal texts have equal ones; a text of any length is
+    judged whole, and a table without rows gives none.
     """
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 

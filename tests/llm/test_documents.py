@@ -309,12 +309,45 @@ def test_filters_name_all_languages_of_an_ngram(spark):
     """More languages than a word of masks holds, and false positives within their rate."""
     docs = spark.createDataFrame([(f"l{i:03d}", "".join(chr(0x4E00 + 100 * i + j) for j in range(60)) + " common") for i in range(70)], "lang string, text string")
     filters = language_filters.learn(docs)
-    assert filters.table.shape[1] == 2
+    assert filters.table.shape[1] == 70
     texts = [r.text[5:40] for r in docs.orderBy("lang").collect()]
     assert filters.decide(texts)[0] == [f"l{i:03d}" for i in range(70)]
     code, _ = language_filters.grams(["omm"])
-    masks = np.bitwise_and.reduce([filters.table[s.astype(int)] for s in language_filters.slots(code[1:2])])
-    assert sum(int(m).bit_count() for m in masks[0]) == 70
+    assert (filters.masks(code[1:2])[0] & 1).sum() == 70
+
+
+def test_filters_against_counted_ngrams(spark, small):
+    """Every n-gram is in the filters of every language that has it, up to its level; bits are those of plain counts."""
+
+    def trigrams(text):
+        edged = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+        return [edged[i - 1 : i + 2] for i in range(1, len(edged) - 1) if edged[i] != " "]
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("text", "lang")
+    filters = language_filters.learn(docs)
+    texts = [(r.text or "", r.lang) for r in docs.collect()]
+    held: dict[str, Counter] = {}
+    for text, lang in texts:
+        if lang is not None:
+            held.setdefault(lang, Counter()).update(trigrams(text))
+    assert filters.languages == sorted(held)
+    levels = {}
+    for at, lang in enumerate(filters.languages):
+        total = sum(held[lang].values())
+        levels[lang] = {g: 1 + sum(n / total >= 4.0 ** (j - 10) for j in range(1, 8)) for g, n in held[lang].items()}
+        codes = np.array([sum((c != " ") * ord(c) << 21 * (2 - i) for i, c in enumerate(g)) for g in levels[lang]], np.uint64)
+        want = np.array([(1 << n) - 1 for n in levels[lang].values()])
+        assert (filters.masks(codes)[:, at] & want == want).all()
+    assert (filters.false_positives < 0.02).all()
+    got, (names, scores) = filters.counts([t for t, _ in texts])[1], filters.decide([t for t, _ in texts])
+    for i, (text, _) in enumerate(texts):
+        own = trigrams(text)
+        if not own:
+            assert names[i] == "und"
+            continue
+        want = [sum(levels[lang].get(g, 0) for g in own) / len(own) / 8 for lang in filters.languages]
+        assert np.allclose(got[i], want, atol=0.02)
+        assert want[filters.languages.index(names[i])] >= max(want) - 0.02 and scores[i] == max(got[i])
 
 
 def test_batches_are_bounded(spark):
