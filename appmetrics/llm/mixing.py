@@ -4,8 +4,9 @@ The words of a source, its documents laid end to end in a seeded order, are cut
 Sainte-Lague apportionment gives the blocks of the mix to the sources by the highest quotients
 ``target / (2 * blocks so far + 1)``, for each output shard in turn: the method is monotone in the number of
 blocks, so what a source has after shard k less what it had after shard k - 1 is its whole-number quota in
-shard k. A source then gives its blocks in a ring from a seeded place on; a quota larger than its blocks goes
-round again. Since the order of the documents is random, a run of the ring is a random sample.
+shard k. A source's blocks stand in a ring. Each shard takes as many as its quota: the first shard from a seeded place
+on, the next from where it ended, round again if need be. Since the order of the documents is random, a shard's
+run of the ring is a random sample, and no block comes a second time before all have come once.
 
 Nothing here has a row per block. Documents are ordered by a hash, within buckets of hash prefixes: a source
 that holds a third of all rows is spread over all buckets.
@@ -13,7 +14,7 @@ that holds a third of all rows is spread over all buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from appmetrics.functions.scratch import stage
 
@@ -25,6 +26,11 @@ SEED = "mix"
 WORDS = r"'[^\\x20\\x09-\\x0D]+'"
 
 
+def named(column: str) -> Column:
+    """A column by its whole name, which may hold dots."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """Adds ``rank``, ``weight``, ``total`` and ``target`` to one row (key, source, source_size) per source.
 
@@ -93,48 +99,39 @@ def mix(
 ) -> DataFrame:
     """A row ``row`` (the columns ``keep``, all by default) with what the mix takes of it, for every row of ``docs``.
 
-    ``size``: words of the text; ``source_size``, ``target``: of its source; ``passes``: how often the whole
-    document is taken; ``from1, to1, from2, to2``: two word ranges (the second may be empty) taken once more;
-    ``taken``: words in all.
+    ``size``: words of the text; ``source_size``, ``target``: of its source; ``parts``: array of structs
+    (pass, shard, from, to), the word ranges that each shard takes, in order; ``taken``: words in all.
 
     Null and empty texts have size 0 and give nothing; a null source is a source of its own; rows with equal
     ids are separate documents, laid one after the other; an empty table gives no rows. The same rows give the
-    same result in any order and partitioning.
+    same result in any order and partitioning: they stand by a hash of id and text, null ids too.
     """
-    kept = F.struct(*[F.col(c) for c in (keep if keep is not None else docs.columns)]).alias("row")
+    kept = F.struct(*[named(c).alias(c) for c in (keep if keep is not None else docs.columns)]).alias("row")
+    text, source = named(text_col), named(source_col)
+    told = F.concat_ws("|", F.lit(seed), F.coalesce(named(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
     row = docs.select(
         kept,
-        F.col(source_col).alias("source"),
-        F.coalesce(F.expr(f"cast(regexp_count(`{text_col}`, {WORDS}) AS bigint)"), F.lit(0).cast("bigint")).alias("size"),
-        F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")).alias("key"),
-        F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")).alias("draw"),
+        source.alias("source"),
+        F.coalesce(F.regexp_count(text, F.expr(WORDS)).cast("bigint"), F.lit(0).cast("bigint")).alias("size"),
+        F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"),
+        F.md5(told.cast("binary")).alias("draw"),
     )
     buckets = stage(
         row.groupBy("key", "source", F.left("draw", F.lit(3)).alias("bucket")).agg(F.sum("size").alias("words")), "buckets"
     )
     sizes = stage(buckets.groupBy("key", "source").agg(F.sum("words").alias("source_size")), "sizes")
     targets = stage(source_targets(sizes, weights, cap), "targets")
-    quotas = stage(shard_quotas(targets, block_words, shards), "quotas").groupBy("key").agg(F.sum("quota").alias("quota"))
+    upto = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    ends = stage(shard_quotas(targets, block_words, shards), "quotas").withColumn("upto", F.sum("quota").over(upto))
+    # Places where shards end, counted in blocks from the ring's start on, then in words; one for each shard.
     rings = (
-        targets.join(quotas, "key")
-        .selectExpr("*", f"greatest(ceil(source_size / {block_words}D), 1L) AS blocks")
-        .selectExpr(
-            "key",
-            "source_size",
-            "target",
-            f"least(quota, {cap} * blocks) DIV blocks AS passes",
-            f"least(quota, {cap} * blocks) % blocks AS run",
-            f"cast(conv(left(md5(cast(concat('{seed}|', key) AS binary)), 8), 16, 10) AS bigint) % blocks AS first",
-            "blocks",
-        )
+        targets.join(ends.groupBy("key").agg(F.sort_array(F.collect_list("upto")).alias("ends")), "key")
+        .selectExpr("key", "source_size", "target", "ends", f"greatest(ceil(source_size / {block_words}D), 1L) AS blocks")
+        .selectExpr("*", f"cast(conv(left(md5(cast(concat('{seed}|', key) AS binary)), 8), 16, 10) AS bigint) % blocks AS first")
+        .selectExpr("key", "source_size", "target", "blocks", f"transform(concat(array(0L), ends), e -> first + least(e, {cap} * blocks)) AS ends")
         .selectExpr(
-            "key",
-            "source_size",
-            "target",
-            "passes",
-            f"first * {block_words} AS low1",
-            f"least(least(first + run, blocks) * {block_words}, source_size) AS high1",
-            f"greatest(first + run - blocks, 0L) * {block_words} AS high2",
+            "key", "source_size", "target",
+            f"transform(ends, e -> e DIV blocks * source_size + least(e % blocks * {block_words}, source_size)) AS cuts",
         )
     )
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -143,38 +140,36 @@ def mix(
     within = Window.partitionBy("key", "bucket").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, 0)
     spread = row.drop("source").withColumn("bucket", F.left("draw", F.lit(3)))
     laid = spread.withColumn("upto", F.sum("size").over(within) - F.col("size")).join(placed, ["key", "bucket"])
-    return (
-        laid.withColumn("begin", F.col("start") + F.col("upto"))
-        .selectExpr(
-            "row", "size", "source_size", "target", "passes",
-            "least(greatest(low1 - begin, 0L), size) AS from1", "least(greatest(high1 - begin, 0L), size) AS to1",
-            "0L AS from2", "least(greatest(high2 - begin, 0L), size) AS to2",
-        )
-        .selectExpr(
-            "row", "size", "source_size", "target", "passes", "from1", "greatest(from1, to1) AS to1", "from2", "to2",
-            "passes * size + greatest(to1 - from1, 0L) + to2 AS taken",
-        )
+    # Round the ring for the p-th time, the document begins at start + upto + p * source_size.
+    begin = "(start + upto + p * source_size)"
+    ranges = (
+        f"filter(flatten(transform(sequence(0, {cap}), p -> transform(sequence(1, {shards}), s -> struct("
+        f"p AS pass, s AS shard, least(greatest(element_at(cuts, s) - {begin}, 0L), size) AS from, "
+        f"least(greatest(element_at(cuts, s + 1) - {begin}, 0L), size) AS to)))), r -> r.to > r.from)"
+    )
+    return laid.selectExpr("row", "size", "source_size", "target", f"{ranges} AS parts").selectExpr(
+        "*", "aggregate(parts, 0L, (n, r) -> n + r.to - r.from) AS taken"
     )
 
 
-def mixed_documents(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", **how) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row for each whole pass, one for each range of words.
+def mixed_documents(
+    docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", shard_col: str | None = None, **how
+) -> DataFrame:
+    """The mix itself, with the columns of ``docs``, and the shard (from 1) as ``shard_col`` if that is given.
 
-    A whole document keeps its text; a range is its words joined by one space, with ``chars_col`` counted anew.
+    A row for each range of words that a shard takes: a whole document keeps its text; a part of one is its words
+    joined by one space, with ``chars_col`` counted anew.
     """
     placed = mix(docs, text_col=text_col, **how)
-    # A range (0, -1) stands for the whole document.
-    parts = placed.selectExpr(
-        "row",
-        "explode(concat(array_repeat(struct(0L AS f, -1L AS t), cast(passes AS int)), "
-        "filter(array(struct(from1 AS f, to1 AS t), struct(from2 AS f, to2 AS t)), p -> p.t > p.f))) AS part",
-    )
+    parts = placed.selectExpr("row", "size", "explode(parts) AS part").selectExpr("row", "part", "part.to - part.from = size AS whole")
     # A text that begins with white space has an empty first part.
-    words = f"filter(split(row.`{text_col}`, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"
-    cut = f"concat_ws(' ', slice({words}, cast(part.f + 1 AS int), cast(part.t - part.f AS int)))"
-    made = parts.selectExpr("row", f"CASE WHEN part.t < 0 THEN row.`{text_col}` ELSE {cut} END AS made", "part.t < 0 AS whole")
+    text = F.col("row").getField(text_col)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = F.concat_ws(" ", F.slice(words, F.expr("cast(part.from + 1 AS int)"), F.expr("cast(part.to - part.from AS int)")))
+    made = parts.select("row", "part", "whole", F.when(F.col("whole"), text).otherwise(cut).alias("made"))
     new = {text_col: F.col("made")}
     if chars_col and chars_col in docs.columns:
         counted = F.length("made").cast(docs.schema[chars_col].dataType)
         new[chars_col] = F.when(F.col("whole"), F.col("row").getField(chars_col)).otherwise(counted)
-    return made.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    shown = [new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+    return made.select(*shown, *([F.col("part.shard").alias(shard_col)] if shard_col else []))

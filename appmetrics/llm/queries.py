@@ -40,16 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op3_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs, keep=("doc_id",)).selectExpr("row.doc_id AS doc_id", "size", "source_size", "target", "taken")
+    shards = "array_join(transform(parts, r -> concat_ws(':', r.shard, r.to - r.from)), ',') AS shard_words"
+    return mixing.mix(docs, keep=("doc_id",)).selectExpr("row.doc_id AS doc_id", "size", "source_size", "target", "taken", shards)
 
 
 ORACLES["op3_mixing"] = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    coalesce('s' || source, 'n') AS key, md5('mix|' || coalesce(doc_id::VARCHAR, '')) AS draw
+    coalesce('s' || source, 'n') AS key, md5('mix|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS draw
   FROM documents),
-laid AS (
-  SELECT *, (sum(size) OVER (PARTITION BY key ORDER BY draw, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start FROM docs),
+laid AS MATERIALIZED (
+  SELECT *, (sum(size) OVER (PARTITION BY key ORDER BY draw, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start,
+    row_number() OVER () AS rowid_ FROM docs),
 sizes AS (SELECT key, source, sum(size)::BIGINT AS source_size FROM docs GROUP BY ALL),
 ranked AS (
   SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rank, (sum(source_size) OVER ())::BIGINT AS total,
@@ -63,29 +65,36 @@ ordered AS (
 shared AS (SELECT *, (total - full_before) / weight_left::DOUBLE AS share FROM ordered),
 targets AS (
   SELECT *, least(weight * max(CASE WHEN share <= fills_at THEN share END) OVER (), capacity::DOUBLE) AS target FROM shared),
+houses AS (
+  SELECT *, (total // 16) * shard // 8 AS house FROM targets, (SELECT unnest(range(1, 9)) AS shard)),
 bounded AS (
-  SELECT *, total // 16 AS house,
-    CASE WHEN total // 16 > n / 2.0::DOUBLE + 1
-      THEN floor(target * (total // 16 - n / 2.0::DOUBLE - 1) / total + 0.5::DOUBLE)::BIGINT ELSE 0 END AS sure,
-    floor(target * (total // 16 + n / 2.0::DOUBLE + 1) / nullif(total, 0) + 0.5::DOUBLE)::BIGINT AS possible
-  FROM targets),
-seats AS (SELECT key, rank, target, unnest(range(sure, possible)) AS q FROM bounded),
+  SELECT *,
+    CASE WHEN house > n / 2.0::DOUBLE + 1
+      THEN floor(target * (house - n / 2.0::DOUBLE - 1) / total + 0.5::DOUBLE)::BIGINT ELSE 0 END AS sure,
+    floor(target * (house + n / 2.0::DOUBLE + 1) / nullif(total, 0) + 0.5::DOUBLE)::BIGINT AS possible
+  FROM houses),
+seats AS (SELECT key, shard, rank, target, unnest(range(sure, possible)) AS q FROM bounded),
+free AS (SELECT shard, max(house) - sum(sure) AS seats FROM bounded GROUP BY shard),
 won AS (
-  SELECT key, count(*) AS won FROM (
-    SELECT *, row_number() OVER (ORDER BY target / (2 * q + 1)::DOUBLE DESC, rank, q) AS place FROM seats)
-  WHERE place <= (SELECT max(house) - sum(sure) FROM bounded) GROUP BY key),
+  SELECT key, shard, count(*) AS won FROM (
+    SELECT *, row_number() OVER (PARTITION BY shard ORDER BY target / (2 * q + 1)::DOUBLE DESC, rank, q) AS place FROM seats)
+  JOIN free USING (shard) WHERE place <= free.seats GROUP BY ALL),
 rings AS (
-  SELECT key, source_size, target, least(sure + coalesce(won, 0), 3 * blocks)::BIGINT AS quota, blocks,
-    ('0x' || left(md5('mix|' || key), 8))::BIGINT % blocks AS first
-  FROM (SELECT *, greatest(ceil(source_size / 16.0)::BIGINT, 1) AS blocks FROM bounded) LEFT JOIN won USING (key)),
-ranges AS (
-  SELECT key, source_size, target, quota // blocks AS passes, first * 16 AS low1,
-    least(least(first + quota % blocks, blocks) * 16, source_size) AS high1,
-    greatest(first + quota % blocks - blocks, 0) * 16 AS high2 FROM rings)
-SELECT doc_id, size, source_size, target,
-  (passes * size + greatest(least(greatest(high1 - start, 0), size) - least(greatest(low1 - start, 0), size), 0)
-    + least(greatest(high2 - start, 0), size))::BIGINT AS taken
-FROM laid JOIN ranges USING (key)
+  SELECT key, shard, source_size, target, blocks, ('0x' || left(md5('mix|' || key), 8))::BIGINT % blocks AS first,
+    least(sure + coalesce(won, 0), 3 * blocks)::BIGINT AS upto
+  FROM (SELECT *, greatest(ceil(source_size / 16.0)::BIGINT, 1) AS blocks FROM bounded) LEFT JOIN won USING (key, shard)),
+cuts AS (
+  SELECT key, shard, source_size, target, cut, coalesce(lag(cut) OVER (PARTITION BY key ORDER BY shard), first_cut) AS after FROM (
+    SELECT *, (first + upto) // blocks * source_size + least((first + upto) % blocks * 16, source_size) AS cut,
+      least(first * 16, source_size) AS first_cut FROM rings)),
+parts AS (
+  SELECT l.rowid_, c.shard, p, least(greatest(c.cut - l.start - p * c.source_size, 0), l.size) - least(greatest(c.after - l.start - p * c.source_size, 0), l.size) AS words
+  FROM laid AS l JOIN cuts AS c USING (key), (SELECT unnest(range(0, 4)) AS p)),
+taken AS (
+  SELECT rowid_, coalesce(sum(words), 0)::BIGINT AS taken,
+    coalesce(string_agg(shard || ':' || words, ',' ORDER BY p, shard) FILTER (words > 0), '') AS shard_words FROM parts GROUP BY rowid_)
+SELECT doc_id, size, l.source_size, l.target, taken, shard_words
+FROM (SELECT * FROM laid JOIN targets USING (key)) AS l JOIN taken USING (rowid_)
 """
 
 

@@ -135,13 +135,39 @@ def test_mix_of_odd_rows(odd, empty):
     assert collected(got.select("row.doc_id", "size", "taken").orderBy("doc_id", "size", "taken")) == collected(
         mixing.mix(odd.repartition(7)).select("row.doc_id", "size", "taken").orderBy("doc_id", "size", "taken")
     )
+    parts = [r for g in got.collect() for r in g.parts]
+    assert all(r.to > r["from"] and 1 <= r.shard <= mixing.SHARDS for r in parts)
     texts = mixing.mixed_documents(odd)
     assert texts.columns == odd.columns
+    dotted = mixing.mixed_documents(odd.withColumnRenamed("text", "a.b").withColumn("c.d", F.lit(1)), text_col="a.b")
+    assert dotted.columns == [{"text": "a.b"}.get(c, c) for c in odd.columns] + ["c.d"] and dotted.count() == texts.count()
     words = sum(len((r.text or "").encode().split()) for r in texts.collect())
     assert words == got.agg(F.sum("taken")).first()[0]
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_shards_take_their_quotas(spark):
+    """Each shard has its quota of whole blocks of each source, no block a second time before all came once; reruns agree."""
+    made = [(i if i % 5 else None, " ".join(f"w{i}x{j}" for j in range(16 * (1 + i % 3))), f"s{min(i % 7, 3)}") for i in range(420)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string")
+    taken = mixing.mixed_documents(docs, chars_col=None, shard_col="shard")
+    words = Counter((r.source, r.shard) for r in taken.collect() for _ in r.text.split())
+    sizes = docs.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).cast("long").alias("source_size")).withColumn("key", F.col("source"))
+    targets = mixing.source_targets(sizes.select("key", "source", "source_size"))
+    quotas = {(r.key, r.shard): r.quota for r in mixing.shard_quotas(targets).collect()}
+    assert len({shard for _, shard in quotas}) == mixing.SHARDS
+    assert words == Counter({k: 16 * n for k, n in quotas.items() if n})
+    times = {(r.source, w): 0 for r in docs.collect() for w in r.text.split()}
+    for r in taken.collect():
+        for w in r.text.split():
+            times[(r.source, w)] += 1
+    for source in {s for s, _ in times}:
+        seen = [n for (s, _), n in times.items() if s == source]
+        assert max(seen) - min(seen) <= 1 and max(seen) <= 3
+    again = mixing.mixed_documents(docs.repartition(5, "text"), chars_col=None, shard_col="shard")
+    assert Counter(collected(again)) == Counter(collected(taken))
+
+
 def test_quotas_are_sainte_lague(spark):
     votes = {"a": 53_000, "b": 24_000, "c": 23_000, "d": 7, "e": 0}
     sizes = spark.createDataFrame([(f"s{k}", k, v) for k, v in votes.items()], "key string, source string, source_size long")
