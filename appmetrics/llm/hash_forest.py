@@ -26,8 +26,11 @@ BITS = 32
 SHARE = 0.8
 #: The planes go through the middle of a sample of this many vectors, those with the least hash of their id.
 SAMPLE = 4096
-BLOCK_ROWS = 65_536
+#: Vectors of a block and queries of a batch, fewer where these many would pass ``BLOCK_BYTES``. They depend on nothing
+#: else, so neither do the neighbours found.
+BLOCK_ROWS = 2048
 QUERY_ROWS = 4096
+BLOCK_BYTES = 32 << 20
 SEED = 1
 
 
@@ -44,8 +47,12 @@ class Forest:
 
     def strings(self, rows: np.ndarray) -> np.ndarray:
         """(tree, row) -> bits, the first one highest."""
-        sides = (rows @ self.planes.T > self.middles).reshape(len(rows), self.trees, self.bits)
-        return (sides @ (np.uint64(1) << np.arange(self.bits - 1, -1, -1, dtype=np.uint64))).T.astype(np.uint64)
+        places = np.uint64(1) << np.arange(self.bits - 1, -1, -1, dtype=np.uint64)
+        made = np.empty((self.trees, len(rows)), np.uint64)
+        for t in range(self.trees):
+            part = slice(t * self.bits, (t + 1) * self.bits)
+            made[t] = (rows @ self.planes[part].T > self.middles[part]) @ places
+        return made
 
     def intervals(
         self, queries: np.ndarray, enough: int, query_ids: np.ndarray | None = None, k: int = 0
@@ -131,8 +138,9 @@ def search(
     schema = "query_id bigint, vec_id bigint, score double"
     found = None
     for length in sorted(set(lengths) & set(wanted)):
-        blocks = max(-(-lengths[length] // block_rows), 4 * spark.sparkContext.defaultParallelism)
-        batches = -(-wanted[length] // QUERY_ROWS)
+        most = max(BLOCK_BYTES // (8 * length), 1)
+        blocks = -(-lengths[length] // min(block_rows, most))
+        batches = -(-wanted[length] // min(QUERY_ROWS, most))
         near = _search_blocks(rows.filter(F.col("length") == length), asked.filter(F.col("length") == length), length, blocks, batches, k, trees, share, schema)
         found = near if found is None else found.unionAll(near)
     if found is None:

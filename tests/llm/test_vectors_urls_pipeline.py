@@ -1,5 +1,7 @@
 """Operators on vectors and URLs, connected components, and the pipeline."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +86,27 @@ def test_forest_takes_the_longest_prefix_that_gives_enough():
         assert ((high - low)[:, q] == met).all()
 
 
+def test_search_does_not_depend_on_partitions(spark):
+    random = np.random.default_rng(7)
+    table = vectors(spark, [(i, v) for i, v in enumerate(random.normal(size=(300, 8)).tolist())])
+    found = [
+        sorted(map(tuple, hash_forest.search(t, t.filter("vec_id % 20 = 0"), k=5, share=0.2, block_rows=64).collect()))
+        for t in (table.coalesce(1), table.repartition(9))
+    ]
+    assert len(found[0]) == 75 and found[0] == found[1]
+
+
+def test_memory_of_a_large_block():
+    random = np.random.default_rng(8)
+    rows = random.normal(size=(65_536, 64))
+    planes = random.normal(size=(hash_forest.TREES * hash_forest.BITS, 64))
+    tracemalloc.start()
+    hash_forest.Forest(np.arange(len(rows)), rows, planes, np.zeros(len(planes)), hash_forest.TREES)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20
+
+
 def test_small_tables_are_searched_in_full(spark):
     random = np.random.default_rng(6)
     # As many candidates as are asked for, with the defaults: all are found, those of a query's own block too.
