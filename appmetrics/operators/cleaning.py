@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from appmetrics.functions import parsing as P
+from appmetrics.functions.scratch import stage
 from appmetrics.operators.columns import shared_columns
 from appmetrics.operators.profiling import long_aggregate
 from appmetrics.operators.ranking import exact_quantiles
@@ -35,8 +36,10 @@ def outlier_bounds(df: DataFrame, columns=None, reach: float = 1.5) -> dict[str,
 
 
 def outlier_report(df: DataFrame, columns=None, bounds=None) -> DataFrame:
-    """(column, outliers, percent)."""
-    bounds = bounds or outlier_bounds(df, columns)
+    """(column, outliers, percent). Without given bounds the numbers are derived and written once for both steps."""
+    if not bounds:
+        df = stage(df.select(*map(P.field, columns or numeric_columns(df))), "measured")
+        bounds = outlier_bounds(df, columns)
 
     def counts(c):
         low, high = bounds[c]
@@ -48,16 +51,18 @@ def outlier_report(df: DataFrame, columns=None, bounds=None) -> DataFrame:
 
 
 def drop_outliers(df: DataFrame, columns=None, allowed: int = 1, bounds=None) -> DataFrame:
-    """Keep rows that are outside the bounds in at most ``allowed`` columns."""
-    bounds = bounds or outlier_bounds(df, columns)
+    """Keep rows that are outside the bounds in at most ``allowed`` columns.
+
+    Without given bounds the rows are written once, so that the bounds and the range tests read plain numbers.
+    """
+    if not bounds:
+        df = stage(df, "measured")
+        bounds = outlier_bounds(df, columns)
     if not bounds:
         return df
-    # One array names each column once; a sum of range tests would repeat every parsing expression that
-    # Catalyst folds into the filter, and generated code of that size is not compiled by the JVM.
-    tests = ", ".join(
-        f"struct(cast({P.quoted(c)} AS double) AS v, {low!r}D AS low, {high!r}D AS high)" for c, (low, high) in bounds.items()
-    )
-    return df.filter(f"size(filter(array({tests}), t -> t.v < t.low OR t.v > t.high)) <= {int(allowed)}")
+    numbers = {c: f"cast({P.quoted(c)} AS double)" for c in bounds}
+    outside = [f"if({numbers[c]} < {low!r}D OR {numbers[c]} > {high!r}D, 1, 0)" for c, (low, high) in bounds.items()]
+    return df.filter(f"{' + '.join(outside)} <= {int(allowed)}")
 
 
 def surviving_rows(original: DataFrame, cleaned: DataFrame, columns=None) -> DataFrame:

@@ -38,7 +38,7 @@ def clean_listings(df: DataFrame, comma_free: bool = False) -> DataFrame:
     means, mode), and the result is one lazy plan with them.
     """
     sized = stage(C.with_size_bytes(K.drop_columns(type_listings(df), *UNUSED)), "sized")
-    kept = C.drop_missing(C.drop_outliers(sized), REQUIRED)
+    kept = C.drop_missing(C.drop_outliers(sized, bounds=C.outlier_bounds(sized)), REQUIRED)
     filled = C.fill_mode(C.fill_mean(kept, MEAN_FILLED), MODE_FILLED)
     return without_commas(filled) if comma_free else filled
 
