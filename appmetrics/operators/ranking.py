@@ -34,6 +34,34 @@ def running_totals(df: DataFrame, order, amount: str | None = None, out: str = "
     )
 
 
+def running_sums(df: DataFrame, group, order: str, amounts) -> DataFrame:
+    """Adds ``<amount>_upto``, the sum up to each row in the order of its group, and ``<amount>_all``, the group's sum.
+
+    ``order`` tells the rows of a group apart. Rows lie in range partitions of group and order, so a group of any size
+    is summed in parts; each part's start comes from the parts before it, one row per group and range.
+    """
+    group, amounts = list(group), list(amounts)
+    ranged = stage(df.repartitionByRange(*group, order).withColumn("_range", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy(*group, "_range").agg(*[F.sum(a).alias(f"_{a}") for a in amounts])
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        *[F.col(g).alias(f"_group{i}") for i, g in enumerate(group)],
+        F.col("_range").alias("_part"),
+        *[F.coalesce(F.sum(f"_{a}").over(before), F.lit(0)).alias(f"_{a}_before") for a in amounts],
+        *[F.sum(f"_{a}").over(whole).alias(f"{a}_all") for a in amounts],
+    )
+    within = Window.partitionBy("_range", *group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    # A null group is a group too.
+    same = [F.col(g).eqNullSafe(F.col(f"_group{i}")) for i, g in enumerate(group)]
+    return (
+        ranged.withColumns({f"_{a}_sum": F.sum(a).over(within) for a in amounts})
+        .join(starts, [F.col("_range") == F.col("_part"), *same])
+        .withColumns({f"{a}_upto": F.col(f"_{a}_sum") + F.col(f"_{a}_before") for a in amounts})
+        .drop("_range", "_part", *[f"_group{i}" for i in range(len(group))], *[f"_{a}_{part}" for a in amounts for part in ("sum", "before")])
+    )
+
+
 BINS = 1024
 
 

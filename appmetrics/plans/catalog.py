@@ -67,6 +67,7 @@ def all_queries() -> dict[str, Query]:
         queries_descriptive,
         queries_diagnostic,
         queries_modelling,
+        queries_trees,
     )
 
     return CATALOG.queries

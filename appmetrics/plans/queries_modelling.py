@@ -156,7 +156,7 @@ def labelled_listings(spark, sf_dir):
     return rounded(P.labelled_listings(df), "Category", "Ad Supported", "Content Rating")
 
 
-_MODEL_COLUMNS = [
+MODEL_COLUMNS = [
     "Category",
     "Rating",
     "Rating Count",
@@ -174,7 +174,7 @@ _MODEL_COLUMNS = [
     "In App Purchases",
     "Editors Choice",
 ]
-_MODEL_SQL = listing_sql(
+MODEL_SQL = listing_sql(
     f"""SELECT kept.*, CAST(a.i AS INTEGER) AS "Category_enc", CAST(b.i AS INTEGER) AS "Minimum Android_enc", CAST(c.i AS INTEGER) AS "Content Rating_enc"
     FROM kept JOIN a ON a.v = kept."Category" JOIN b ON b.v = kept."Minimum Android" JOIN c ON c.v = kept."Content Rating" """,
     f"""sized AS (SELECT "Category", "Rating", "Rating Count", {INSTALLS_SQL} AS "Installs", "Free", "Price", {SIZE_SQL} AS "Size", "Minimum Android",
@@ -189,9 +189,9 @@ _MODEL_SQL = listing_sql(
 )
 
 
-@CATALOG.add("CLN-14", "FLT-5", sql=_MODEL_SQL)
+@CATALOG.add("CLN-14", "FLT-5", sql=MODEL_SQL)
 def model_rows(spark, sf_dir):
-    return rounded(P.model_rows(listings(spark, sf_dir, *_MODEL_COLUMNS, busy=True), "Price"), "Rating")
+    return rounded(P.model_rows(listings(spark, sf_dir, *MODEL_COLUMNS, busy=True), "Price"), "Rating")
 
 
 # ---- models ----
@@ -199,7 +199,7 @@ def model_rows(spark, sf_dir):
 
 def _vectors(spark, sf_dir, label, floor_label=False):
     """Prepared vectors, written once: fitting and scoring read them several times."""
-    df = listings(spark, sf_dir, "App Id", *_MODEL_COLUMNS, busy=True)
+    df = listings(spark, sf_dir, "App Id", *MODEL_COLUMNS, busy=True)
     return P.split_by_draw(stage(P.model_vectors(df, label, floor_label), "vectors"), 0.7)
 
 
