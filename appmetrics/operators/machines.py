@@ -5,6 +5,8 @@ The machines of all costs, folds and pairs are fitted together: their weights ar
 over the rows gives the losses and gradients of all, and the driver takes one step of each (limited-memory
 quasi-Newton, backtracking). So a search over 30 costs and 5 folds reads the rows as often as a single fit.
 
+Rows that are equal in label and features have equal cosines, margins and losses, so each is kept once, with how many
+rows of each fold it stands for: a pass computes it once and weighs it. Where no two rows are equal, that changes nothing.
 Rows stay as narrow as they come: scaling and cosines are made anew in each pass, because 128 doubles a row would be
 read from disk slower than they are computed. What tasks return is summed in Spark, in pieces of the matrix, so the
 driver gets one matrix a pass, whose size depends on the numbers of machines and cosine features alone.
@@ -110,41 +112,51 @@ class PairwiseModel(NamedTuple):
         return scored.withColumn("prediction", vote("margins", machines.classes))
 
 
-def narrow_rows(train: DataFrame, label: str, features: str, fold: Column | None = None) -> DataFrame:
-    """(fold, label, x) of rows with a label, written once, ``TASK_ROWS`` rows a task."""
+def narrow_rows(train: DataFrame, label: str, features: str, fold: Column | None = None, folds: int = 1) -> DataFrame:
+    """(label, x, rows) of rows with a label, equal ones once; ``rows`` counts them in each fold. ``TASK_ROWS`` a task."""
     rows = train.select(
         (F.lit(0) if fold is None else fold).cast("int").alias("fold"),
         field(label).cast("double").alias("label"),
         vector_to_array(field(features)).alias("x"),
     ).filter("label IS NOT NULL AND NOT isnan(label)")
-    written = stage(rows, "machine-rows")
+    counted = rows.groupBy("label", "x").agg(F.array(*[F.count_if(F.col("fold") == k) for k in range(folds)]).alias("rows"))
+    written = stage(counted, "machine-rows")
     return stage(written.repartition(max(1, -(-written.count() // TASK_ROWS))), "machine-rows")
 
 
 def _facts(rows: DataFrame, held_out) -> tuple[list[float], np.ndarray, list]:
     """Classes, training rows (group, class), and the scaling (mean, 1 / deviation) of each group."""
     width = rows.select(F.max(F.size("x"))).first()[0] or 0
-    moments = [m for i in range(width) for m in (F.avg(F.get("x", F.lit(i))), F.var_pop(F.get("x", F.lit(i))))]
-    found = rows.groupBy("fold", "label").agg(F.count(F.lit(1)), *moments).collect()
+    parts = rows.selectExpr("label", "x", "posexplode(rows) AS (fold, n)").filter("n > 0")
+    # Squares are summed about the middle of all rows, so that large means take no digits from small spreads.
+    middle = parts.select(*[F.sum(F.get("x", F.lit(i)) * F.col("n")) / F.sum("n") for i in range(width)]).first() if width else ()
+    moments = []
+    for i, m in enumerate(middle):
+        off = F.get("x", F.lit(i)) - F.lit(m)
+        moments += [F.sum(off * F.col("n")) / F.sum("n"), F.sum(off * off * F.col("n")) / F.sum("n")]
+    found = parts.groupBy("fold", "label").agg(F.sum("n"), *moments).collect()
     classes = sorted({r[1] for r in found})
     counts, scaling = np.zeros((len(held_out), len(classes))), []
     for g, held in enumerate(held_out):
-        parts = [r for r in found if r[0] != held]
-        n = np.array([r[2] for r in parts], float)
-        means = np.array([r[3::2] for r in parts], float).reshape(len(parts), width)
-        spread = np.array([r[4::2] for r in parts], float).reshape(len(parts), width)
+        chosen = [r for r in found if r[0] != held]
+        n = np.array([r[2] for r in chosen], float)
+        means = np.array([r[3::2] for r in chosen], float).reshape(len(chosen), width)
+        spread = np.array([r[4::2] for r in chosen], float).reshape(len(chosen), width) - means**2
         mean = (n @ means) / max(n.sum(), 1)
-        squares = n @ (spread + (means - mean) ** 2)
+        squares = n @ (np.maximum(spread, 0.0) + (means - mean) ** 2)
         deviation = np.sqrt(squares / max(n.sum() - 1, 1))
-        scaling.append((mean, np.divide(1.0, deviation, out=np.zeros(width), where=deviation > 0)))
-        for r in parts:
+        middles = np.array(middle, float) if len(chosen) else np.zeros(width)
+        scaling.append((middles + mean, np.divide(1.0, deviation, out=np.zeros(width), where=deviation > 0)))
+        for r in chosen:
             counts[g, classes.index(r[1])] += r[2]
     return classes, counts, scaling
 
 
 def _batch(batch: pa.RecordBatch, classes: np.ndarray):
+    """Rows of each fold (row, fold), class indexes and features of a batch."""
     x = np.asarray(batch.column("x").flatten(), np.float64).reshape(batch.num_rows, -1)
-    return np.asarray(batch.column("fold")), np.searchsorted(classes, np.asarray(batch.column("label"))), x
+    n = np.asarray(batch.column("rows").flatten(), np.int64).reshape(batch.num_rows, -1)
+    return n, np.searchsorted(classes, np.asarray(batch.column("label"))), x
 
 
 def hinge(short: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
@@ -171,16 +183,18 @@ def _losses(rows: DataFrame, machines: Machines, held_out, columns: list[tuple[n
                 for g, (w, pairs) in enumerate(columns):
                     if not w.shape[1]:
                         continue
-                    z, own, trains = machines.mapped(x[part], g), labels[part], folds[part] != held_out[g]
+                    trained = folds[part][:, [k != held_out[g] for k in range(folds.shape[1])]].sum(axis=1).astype(np.float64)
+                    z, own = machines.mapped(x[part], g), labels[part]
                     for c in range(len(classes)):
-                        mine, of_class = z[trains & (own == c)], np.flatnonzero((pairs == c).any(axis=1))
+                        chosen, of_class = (trained > 0) & (own == c), np.flatnonzero((pairs == c).any(axis=1))
+                        mine, n = z[chosen], trained[chosen]
                         if not len(mine) or not len(of_class):
                             continue
                         sign = np.where(pairs[of_class, 1] == c, 1.0, -1.0)
                         short = 1.0 - (mine @ w[:, of_class]) * sign
                         loss, pull = hinge(short, width)
-                        sums[g][-1, of_class] += loss.sum(axis=0)
-                        sums[g][:-1, of_class] -= sign * (mine.T @ pull)
+                        sums[g][-1, of_class] += n @ loss
+                        sums[g][:-1, of_class] -= sign * ((mine * n[:, None]).T @ pull)
         flat = np.concatenate([s.ravel() for s in sums])
         for piece, at in enumerate(range(0, len(flat), PIECE)):
             values = flat[at : at + PIECE]
@@ -327,13 +341,14 @@ def held_out_accuracy(rows: DataFrame, machines: Machines, held_out) -> np.ndarr
             folds, labels, x = _batch(batch, classes)
             for g, held in enumerate(held_out):
                 for at in range(0, len(x), SLICE):
-                    mine = folds[at : at + SLICE] == held
+                    mine = folds[at : at + SLICE, held] > 0
                     z, own = machines.mapped(x[at : at + SLICE][mine], g), labels[at : at + SLICE][mine]
-                    n[g] += len(z)
+                    rows_of = folds[at : at + SLICE, held][mine]
+                    n[g] += rows_of.sum()
                     for c in range(len(machines.costs)):
                         chosen = np.where(z @ machines.weights[g, c].T > 0, pairs[:, 1], pairs[:, 0])
                         votes = (chosen[:, :, None] == np.arange(len(classes))).sum(axis=1)
-                        right[g, c] += int((votes.argmax(axis=1) == own).sum())
+                        right[g, c] += int(rows_of[votes.argmax(axis=1) == own].sum())
         cells = [(g, c, int(n[g]), int(right[g, c])) for g, c in np.ndindex(right.shape)]
         yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*cells)], ["g", "c", "n", "k"])
 

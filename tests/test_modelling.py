@@ -122,6 +122,21 @@ def test_objectives_reach_those_of_the_library(spark, rings):
             assert abs(objective(found.weights[0, c, p]) - found.objectives[0, c, p]) < 1e-9
 
 
+def test_equal_rows_are_read_once_and_weigh_what_they_stand_for(spark, rings):
+    """Three of each row are 900 rows to read; three times the rows are three times the cost."""
+    thrice = rings.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    rows = X.narrow_rows(thrice, "y", "features", F.expr("int(copy > 0)"), 2)
+    assert rows.count() == 900 and {tuple(r["rows"]) for r in rows.collect()} == {(1, 2)}
+    how = {"size": 12, "max_iter": 8, "scale": False}
+    one = X.fit_machines(X.narrow_rows(rings, "y", "features"), [3.0], **how)
+    three = X.fit_machines(rows, [1.0, 1.5], (-1, 0), **how)
+    assert np.allclose(one.objectives[0, 0], three.objectives[0, 0]) and np.allclose(one.objectives[0, 0], three.objectives[1, 1])
+    (mean, factor), x = X._facts(rows, (-1,))[2][0], np.stack(rings.toPandas()["features"].map(lambda v: v.toArray()))
+    assert np.allclose(mean, x.mean(axis=0)) and np.allclose(1 / factor, np.repeat(x, 3, axis=0).std(axis=0, ddof=1))
+    held = X.held_out_accuracy(rows, three, (0, 1))
+    assert np.allclose(held[:, 0], M.accuracy(X.PairwiseModel(three, "features"), rings, "y"), atol=0.05)
+
+
 def test_many_minimisations_side_by_side():
     random = np.random.default_rng(1)
     goals, bends = random.normal(size=(20, 6)), random.uniform(0.1, 30, (20, 6))
