@@ -19,9 +19,10 @@ def with_value_counts(df: DataFrame, column: str, out: str) -> DataFrame:
     """How often each row's value occurs; null stays null.
 
     A join with the pre-aggregated counts, not a window: a value held by a third of the rows never
-    gathers in one task (the counts side is broadcast by size or the join is split by AQE).
+    gathers in one task. The counts are written first, so their size is known when the join is planned: few
+    values are broadcast and the rows stay where they are read; only many values are joined by a shuffle.
     """
-    return df.join(value_counts(df, column, out), column, "left")
+    return df.join(stage(value_counts(df, column, out), "counts"), column, "left")
 
 
 def frequency_encode(df: DataFrame, columns) -> DataFrame:

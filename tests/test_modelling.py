@@ -65,6 +65,15 @@ def test_small_columns(spark):
     assert K.shared_columns(df, df.select("r", "a")) == ["a", "r"] and K.other_columns(df, "a") == ["f", "r"]
 
 
+def test_value_counts_leave_rows_where_they_are(spark):
+    """A large table with few values: only its counts are shuffled."""
+    rows = spark.range(2_000_000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN cast(id % 3 AS string) END AS v")
+    counted = E.with_value_counts(rows, "v", "n")
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert {(r["v"], r["n"]) for r in counted.select("v", "n").distinct().collect()} == {(None, None), ("1", 666667), ("2", 666666)}
+
+
 @pytest.fixture(scope="module")
 def rings(spark):
     """Two classes no straight line separates, and a third apart."""
