@@ -3,25 +3,27 @@
 A document of quality 1 is preferred to one of quality 0. With score(d) = weights . features(d), the chance that a
 is preferred to b is the logistic function of score(a) - score(b), so the weights come from a logistic
 regression without intercept on feature differences of pairs. The score that separates good from bad is a
-quantile of the labelled documents' scores: the one that labels most of them rightly.
+quantile of the labelled documents' scores: the one that labels most of them rightly. All labelled documents take
+part in pairs and quantiles: they get their places from range partitions, so none of this gathers in one task.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from appmetrics.functions.parsing import quoted
 from appmetrics.functions.scratch import stage
 from appmetrics.llm.batches import bound_batches
+from appmetrics.operators.ranking import running_totals
 
-#: The fit's bound: this many labelled documents of each class, those with the least hash of their id.
-LABELLED = 6000
 #: Pairs in which each preferred document takes part.
 PAIRS = 8
 LEVELS = 200
@@ -101,44 +103,64 @@ class Ranking:
         return F.expr(f"1D / (1D + exp(-({self.raw(values)} - {self.threshold!r}D) / {self.spread!r}D))")
 
 
-def fit(known: DataFrame, bound: int = LABELLED, pairs: int = PAIRS) -> Ranking:
-    """A ranking learned from rows (id, quality, values): quality 0 or 1, an array of features.
+def fit(known: DataFrame, pairs: int = PAIRS) -> Ranking:
+    """A ranking learned from all rows (id, quality, values): quality 0 or 1, an array of features.
 
-    At most ``bound`` rows of each quality are used, those with the least hash of their id. Rows with a null id,
-    quality or array are left out. Without rows of both qualities every document scores 0.5.
+    Rows with a null id, quality or array are left out. Without rows of both qualities every document scores 0.5.
     """
-    rows = known.filter("id IS NOT NULL AND values IS NOT NULL").select("quality", "values", F.xxhash64("id").alias("draw"))
-    sides = []
-    for quality in (1, 0):
-        least = rows.filter(F.col("quality") == quality).orderBy("draw", "values").limit(bound)
-        # Bounded: the rank is taken over the sample only.
-        sides.append(least.selectExpr("quality", "values", "row_number() OVER (ORDER BY draw, values) - 1 AS at"))
-    sample = stage(sides[0].unionAll(sides[1]), "sample")
-    sizes = {r["quality"]: r["n"] for r in sample.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = known.filter("id IS NOT NULL AND values IS NOT NULL AND quality IN (0, 1)")
+    rows = rows.select("quality", "values", F.xxhash64("id").alias("draw"))
+    placed = stage(running_totals(rows, ["quality", "draw", "values"], out="place").drop("draw"), "placed")
+    sizes = {r["quality"]: r["n"] for r in placed.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     if set(sizes) != {0, 1}:
         return Ranking([0.0] * (2 * len(FEATURES)), 0.0, 1.0)
+    # Places from 0 on in each class: class 0 comes first.
+    ordered = placed.selectExpr("quality", "values", f"place - 1 - quality * {sizes[0]} AS at")
     # Every document takes part: both sides are gone through in turn, the rounds shifted against each other.
     rounds = pairs * -(-max(sizes.values()) // sizes[1])
     meetings = (
-        sample.filter("quality = 1")
+        ordered.filter("quality = 1")
         .selectExpr("values AS better", "at", f"explode(sequence(0, {rounds - 1})) AS round")
         .selectExpr("better", "round", f"(at + round * {max(1, sizes[0] // rounds) + 1}) % {sizes[0]} AS other")
-        .join(sample.filter("quality = 0").selectExpr("values AS worse", "at AS other"), "other")
+        .join(ordered.filter("quality = 0").selectExpr("values AS worse", "at AS other"), "other")
     )
     differences = meetings.selectExpr(
         "CASE WHEN (round + other) % 2 = 0 THEN 1D ELSE 0D END AS label", "zip_with(better, worse, (b, w) -> b - w) AS d"
     ).select("label", array_to_vector(F.expr("CASE WHEN label = 1D THEN d ELSE transform(d, x -> -x) END")).alias("features"))
     model = LogisticRegression(fitIntercept=False, regParam=REGULARISATION, maxIter=100).fit(stage(differences, "pairs"))
     ranked = Ranking([float(w) for w in model.coefficients], 0.0, 1.0)
-    scored = stage(sample.selectExpr("quality", f"{ranked.raw('values')} AS raw"), "scored")
-    steps = ", ".join(f"{(i + 0.5) / LEVELS!r}D" for i in range(LEVELS))
-    row = scored.selectExpr(f"percentile(raw, array({steps})) AS q", "stddev_pop(raw) AS spread").first()
-    # How many documents each quantile would label rightly, classes weighing the same.
-    right = scored.selectExpr(
-        *[f"avg(CASE WHEN quality = 1 THEN double(raw >= {q!r}D) END) + avg(CASE WHEN quality = 0 THEN double(raw < {q!r}D) END) AS r{i}" for i, q in enumerate(row["q"])]
-    ).first()
-    best = [q for i, q in enumerate(row["q"]) if right[f"r{i}"] >= max(right) - 1e-12]
-    return Ranking(ranked.weights, (best[0] + best[-1]) / 2, row["spread"] or 1.0)
+    scored = stage(ordered.selectExpr("quality", f"{ranked.raw('values')} AS raw"), "scored")
+    threshold = _separating(scored, quantiles(scored, "raw", [(i + 0.5) / LEVELS for i in range(LEVELS)]), sizes)
+    return Ranking(ranked.weights, threshold, scored.agg(F.stddev_pop("raw")).first()[0] or 1.0)
+
+
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float]:
+    """Exact quantiles of a column without nulls, between two values in proportion, as SQL's ``percentile``."""
+    placed = stage(running_totals(df.select(column), [column], out="place"), "ranked")
+    n = placed.count()
+    places = [(n - 1) * p for p in shares]
+    asked = sorted({whole + 1 for p in places for whole in (math.floor(p), math.ceil(p))})
+    at = {r["place"]: r[column] for r in placed.filter(F.col("place").isin(asked)).collect()}
+    out = []
+    for p in places:
+        low, high = math.floor(p), math.ceil(p)
+        out.append(at[low + 1] if low == high else (high - p) * at[low + 1] + (p - low) * at[high + 1])
+    return out
+
+
+def _separating(scored: DataFrame, levels: list[float], sizes: dict[int, int]) -> float:
+    """The middle of the levels that label most rows (quality, raw) rightly, classes weighing the same."""
+    steps = sorted(set(levels))
+    split = Bucketizer(splits=[-math.inf, *steps, math.inf], inputCol="raw", outputCol="reached").transform(scored)
+    rows = {(r["quality"], int(r["reached"])): r["n"] for r in split.groupBy("quality", "reached").agg(F.count(F.lit(1)).alias("n")).collect()}
+    right = []
+    for level in levels:
+        step = steps.index(level)
+        good = sum(n for (quality, reached), n in rows.items() if quality == 1 and reached > step)
+        bad = sum(n for (quality, reached), n in rows.items() if quality == 0 and reached <= step)
+        right.append(good / sizes[1] + bad / sizes[0])
+    best = [q for q, r in zip(levels, right) if r >= max(right) - 1e-12]
+    return (best[0] + best[-1]) / 2
 
 
 def labelled(values: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", label_id: str = "doc_id") -> DataFrame:
@@ -148,22 +170,17 @@ def labelled(values: DataFrame, labels: DataFrame, id_col: str = "doc_id", label
     return values.select(F.col(quoted(id_col)).alias("id"), "values").join(known, "id")
 
 
-def learn(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = LABELLED, **how
-) -> Ranking:
-    """A ranking from the texts of the labelled rows of ``docs``.
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> Ranking:
+    """A ranking from the texts of all labelled rows of ``docs``.
 
-    Only the ids that the fit can use are looked up, ``bound`` of each quality, and only their texts are read for
-    features: a pass over the ids and one over the texts. A repeated label counts once; an id with both labels is
-    in both classes; rows that share an id all count. Without rows of both qualities every document scores 0.5.
+    Texts become features where they are read, so the join with the labels moves no text. A repeated label counts
+    once; an id with both labels is in both classes; rows that share an id all count. Without rows of both
+    qualities every document scores 0.5.
     """
     bound_batches(docs.sparkSession)
-    ids = stage(labelled(docs.selectExpr(f"{quoted(id_col)} AS id", "0 AS values").distinct(), labels, "id", label_id=id_col), "labelled")
-    chosen = [ids.filter(F.col("quality") == q).orderBy(F.xxhash64("id"), "id").limit(bound).select("id", "quality") for q in (1, 0)]
-    # Bounded: twice ``bound`` ids.
-    few = F.broadcast(stage(chosen[0].unionAll(chosen[1]), "chosen"))
-    texts = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")).join(few, "id")
-    return fit(stage(texts.select("id", "quality", feature_array(F.col("text")).alias("values")), "features"), bound, **how)
+    texts = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")).filter("id IS NOT NULL")
+    made = stage(texts.select("id", feature_array(F.col("text")).alias("values")), "features")
+    return fit(labelled(made, labels, "id", label_id=id_col), **how)
 
 
 def keep(ranking: Ranking, docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:

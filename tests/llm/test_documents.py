@@ -309,6 +309,24 @@ def test_quality_of_odd_rows(spark, odd, empty):
     assert pairwise_quality.score(none, odd).filter("score = 0.5").count() == len(rows())
 
 
+def test_quality_is_learned_from_all_labelled_rows(spark):
+    """The 6,000 rows of each class that come first by hash say one thing, the many others the contrary."""
+    drawn = spark.range(24000).selectExpr("id", "cast(id % 2 AS int) AS quality", "xxhash64(id) AS draw")
+    first = "row_number() OVER (PARTITION BY quality ORDER BY draw) <= 6000"
+    rest = ", ".join(["0D"] * (2 * len(pairwise_quality.FEATURES) - 1))
+    known = drawn.selectExpr("id", "quality", f"IF({first}, 0.25D, -1D) * (quality - 0.5D) + pmod(id, 7) / 100D AS x", f"array({rest}) AS rest")
+    ranking = pairwise_quality.fit(known.selectExpr("id", "quality", "concat(array(x), rest) AS values"))
+    assert ranking.weights[0] < 0
+
+
+def test_quantiles_are_those_of_sql(spark):
+    shares = [0.0, 0.1, 1 / 3, 0.5, 0.975, 1.0]
+    for n in (1, 2, 11, 500):
+        df = spark.range(n).selectExpr("double(pmod(hash(id), 37)) / 7 AS raw")
+        want = df.selectExpr(f"percentile(raw, array({', '.join(f'{p!r}D' for p in shares)})) AS q").first()["q"]
+        assert pairwise_quality.quantiles(df, "raw", shares) == pytest.approx(want, abs=1e-12)
+
+
 # Language
 
 
