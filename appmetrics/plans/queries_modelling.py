@@ -283,7 +283,9 @@ def price_elastic_net_path(spark, sf_dir):
     rows = E.assemble(driver_table(spark, sf_dir, "lineitem"), ["l_quantity"], "l_extendedprice")
     lines = N.path_frame(rows, N.elastic_net_path(N.moments(rows, "l_extendedprice"), _STRENGTHS))
     shown = lines.selectExpr("strength", "coefficients[0] AS slope", "intercept", "rmse", "r2")
-    return rounded(rounded(rounded(shown, "slope", "intercept", digits=3), "rmse", digits=2), "r2")
+    figures = rounded(rounded(rounded(shown, "intercept", digits=3), "rmse", digits=2), "r2")
+    # The sign stays where the threshold leaves nothing: -0.0, as in SQL.
+    return figures.withColumn("slope", F.signum("slope") * F.round(F.abs("slope"), 3))
 
 
 @CATALOG.add("MOD-2", "EVA-2")
