@@ -36,6 +36,15 @@ def weighted_points(df: DataFrame, features, collapse: bool = True) -> DataFrame
     return rows.withColumn(WEIGHT, F.lit(1.0))
 
 
+def counted_rows(df: DataFrame, features) -> DataFrame:
+    """Complete rows, equal ones once with their number as weight, in the columns' own types, written once.
+
+    Seeding, iterations and profile then all read these: texts are parsed and tables joined once.
+    """
+    kept = complete_rows(df.select(*[field(c) for c in features]))
+    return stage(kept.groupBy(*[field(c) for c in features]).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)), "counted")
+
+
 @dataclass
 class Clusters:
     """Centers of a k-means run and how it got there."""
@@ -271,13 +280,14 @@ def silhouette(df: DataFrame, features, max_clusters: int = 10, seed: int = 0, s
 
 
 def cluster_profile(df: DataFrame, features, cluster: str = "cluster") -> DataFrame:
-    """Rows, mean, minimum and maximum of each feature per cluster."""
-    measures = [
-        make(field(c)).alias(f"{name}_{c}")
-        for c in features
-        for name, make in (("mean", F.avg), ("min", F.min), ("max", F.max))
-    ]
-    return df.filter(field(cluster).isNotNull()).groupBy(field(cluster)).agg(F.count(F.lit(1)).alias("rows"), *measures)
+    """Rows, mean, minimum and maximum of each feature per cluster; weighted points count as the rows they stand for."""
+    if WEIGHT in df.columns:
+        w = F.col(WEIGHT)
+        rows, mean = F.sum(w).cast("bigint"), lambda c: F.sum(w * c) / F.sum(w)
+    else:
+        rows, mean = F.count(F.lit(1)), F.avg
+    measures = [make(field(c)).alias(f"{name}_{c}") for c in features for name, make in (("mean", mean), ("min", F.min), ("max", F.max))]
+    return df.filter(field(cluster).isNotNull()).groupBy(field(cluster)).agg(rows.alias("rows"), *measures)
 
 
 def rounded_means(df: DataFrame, cluster: str = "cluster", rating="Rating", installs="Maximum Installs", size="Size") -> DataFrame:

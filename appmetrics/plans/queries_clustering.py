@@ -273,16 +273,16 @@ def kmeans_plus_plus_centers(spark, sf_dir):
 
 @CATALOG.add("CL-3", "CL-13")
 def kmeans_profile(spark, sf_dir):
-    df = _shape_frame(spark, sf_dir)
-    found = K.kmeans(df, _SHAPE, 3, centers=K.kmeans_plus_plus(df, _SHAPE, 3, seed=1))
-    return K.cluster_profile(found.assign(df), _SHAPE)
+    points = K.counted_rows(_shape_frame(spark, sf_dir), _SHAPE)
+    found = K.kmeans(points, _SHAPE, 3, centers=K.kmeans_plus_plus(points, _SHAPE, 3, seed=1))
+    return K.cluster_profile(found.assign(points), _SHAPE)
 
 
 @CATALOG.add("CL-3", "CL-13")
 def kmeans_profile_with_rating_value(spark, sf_dir):
     names = ["Size", "Installs", "Rating_Value"]
-    df = _shape_frame(spark, sf_dir, rating_value=True)
-    return K.cluster_profile(K.kmeans(df, names, 3, seed=1).assign(df), names)
+    points = K.counted_rows(_shape_frame(spark, sf_dir, rating_value=True), names)
+    return K.cluster_profile(K.kmeans(points, names, 3, seed=1).assign(points), names)
 
 
 @CATALOG.add("CL-4")

@@ -203,3 +203,24 @@ def test_rows_with_nan_have_no_cluster(spark):
     df = spark.createDataFrame([(1.0,), (9.0,), (float("nan"),), (None,)], "x double")
     got = [r["cluster"] for r in K.Clusters(["x"], [[0.0], [10.0]]).assign(df).collect()]
     assert got == [0, 1, None, None]
+
+
+def test_profile_of_counted_rows_is_that_of_the_rows(spark):
+    rows = [(1, 2.0), (1, 2.0), (1, 2.5), (9, -1.0), (9, -1.0), (9, None), (None, 3.0), (8, float("nan"))]
+    df = spark.createDataFrame(rows, "a bigint, b double")
+    points = K.counted_rows(df, ["a", "b"])
+    assert points.count() == 3
+    found = K.kmeans(points, ["a", "b"], 2, centers=[[1.0, 2.0], [9.0, -1.0]])
+    got = K.cluster_profile(found.assign(points), ["a", "b"])
+    want = K.cluster_profile(found.assign(df), ["a", "b"])
+    assert got.dtypes == want.dtypes
+    assert [(r["rows"], r["min_a"], r["max_b"]) for r in want.orderBy("cluster").collect()] == [(3, 1, 2.5), (2, 9, -1.0)]
+    for a, b in zip(got.orderBy("cluster").collect(), want.orderBy("cluster").collect()):
+        assert tuple(a) == pytest.approx(tuple(b))
+
+
+def test_registered_profile_parses_the_listings_once(spark, small):
+    """Its last pass reads counted rows, not the tables again."""
+    from __spark_entry__ import queries
+
+    assert not any("lineitem" in f for f in queries()["kmeans_profile"](spark, small).inputFiles())
