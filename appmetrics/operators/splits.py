@@ -141,17 +141,16 @@ def _split_table(points: DataFrame, targets: int, where: list[dict[int, list[int
     """
     sums = [f"t{j}" for j in range(targets)]
     inside = ", ".join(f"struct({t} AS tree, {p} AS node, w{t} AS weight)" for t, p in enumerate(places) if where[t])
-    placed = points.selectExpr("*", f"inline(array({inside}))").filter("weight > 0")
-    tries: dict[tuple[int, ...], list[str]] = {}
-    for t, nodes in enumerate(where):
-        for node, numbers in nodes.items():
-            tries.setdefault(tuple(numbers), []).append(f"(tree = {t} AND node = {node})")
-    cases = [
-        f"WHEN {' OR '.join(open_)} THEN array({', '.join(f'struct({i} AS feature, x{i} AS value)' for i in numbers)})"
-        for numbers, open_ in tries.items()
+    cells = ", ".join(c for c in points.columns if c.startswith("x"))
+    placed = points.selectExpr(*sums, f"array({cells}) AS xs", f"inline(array({inside}))").filter("weight > 0")
+    # The features that a node tries are constant lists, so the code of a pass stays small, however many nodes are open.
+    tries = [
+        f"WHEN {t} THEN CASE node {' '.join(f'WHEN {node} THEN array({str(list(numbers))[1:-1]})' for node, numbers in nodes.items())} END"
+        for t, nodes in enumerate(where)
+        if nodes
     ]
-    listed = placed.selectExpr("tree", "node", "weight", *sums, f"inline(CASE {' '.join(cases)} END)")
-    counted = listed.groupBy("tree", "node", "feature", "value").agg(
+    listed = placed.selectExpr("tree", "node", "weight", *sums, "xs", f"explode(CASE tree {' '.join(tries)} END) AS feature")
+    counted = listed.groupBy("tree", "node", "feature", F.expr("xs[feature] AS value")).agg(
         F.sum("weight").alias("n"), *[F.sum(F.expr(f"weight * {t}")).alias(t) for t in sums]
     )
     upto = running_sums(counted, ["tree", "node", "feature"], "value", ["n", *sums])

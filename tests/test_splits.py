@@ -100,3 +100,12 @@ def test_odd_rows(spark):
     with pytest.raises(ValueError):
         S.tree(df.limit(0), "the label", ["x.y"])
     assert S.best_splits(df.limit(0), "the label", ["x.y"]).count() == 0
+
+
+def test_a_pass_over_many_nodes_names_no_feature_in_its_cases(table, monkeypatch):
+    """The code of a level stays small: its nodes name lists of numbers, not expressions of the features."""
+    plans, running = [], S.running_sums
+    monkeypatch.setattr(S, "running_sums", lambda df, *how: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or running(df, *how))
+    S.forest(table, "y", ["a", "b", "c"], depth=3, trees=4, key=["id"], tried=2)
+    assert len(plans) == 3
+    assert all("struct(feature" not in p and "named_struct(feature" not in p for p in plans)
