@@ -1,7 +1,7 @@
 """Elastic-net paths by coordinate descent on second moments.
 
 The penalised squares of a linear model depend on the rows only through their number, means and covariances. One
-aggregate returns these (one number for each pair of features), and any number of penalties is then solved without
+pass returns these (one number for each pair of features), and any number of penalties is then solved without
 reading the rows again, each from the solution before it.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,21 +27,39 @@ class Moments(NamedTuple):
 
 def moments(df: DataFrame, label: str, features: str = "features") -> Moments:
     """Of the rows that have features and a label. All features of a row must be numbers."""
-    rows = df.select(vector_to_array(field(features)).alias("x"), field(label).cast("double").alias("y"))
-    rows = rows.filter("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(y)")
-    first = rows.select(F.size("x").alias("width")).first()
-    if first is None:
+    known = df.filter(field(features).isNotNull())
+    rows = known.select(vector_to_array(field(features)).alias("x"), field(label).cast("double").alias("y"))
+    parts = rows.filter("y IS NOT NULL AND NOT isnan(y)").mapInArrow(_task_moments, "n bigint, means array<double>, products array<double>")
+    found = parts.rdd.map(tuple).treeAggregate(None, _merged, _merged)
+    if found is None:
         raise ValueError("no rows with features and a label")
-    width = first["width"]
-    flat = rows.selectExpr(*[f"x[{i}] AS c{i}" for i in range(width)], f"y AS c{width}")
-    pairs = [(i, j) for i in range(width + 1) for j in range(i + 1)]
-    row = flat.agg(
-        F.count(F.lit(1)), *[F.avg(f"c{i}") for i in range(width + 1)], *[F.covar_pop(f"c{i}", f"c{j}") for i, j in pairs]
-    ).first()
-    covariances = np.zeros((width + 1, width + 1))
-    for (i, j), v in zip(pairs, row[width + 2 :]):
-        covariances[i, j] = covariances[j, i] = v
-    return Moments(row[0], np.array(row[1 : width + 2], float), covariances)
+    n, means, products = found
+    return Moments(n, np.array(means), np.array(products).reshape(len(means), len(means)) / n)
+
+
+def _merged(a, b):
+    """Rows, means and centered products of two sets of rows together; the products are a flat list."""
+    if a is None or b is None:
+        return a or b
+    n, off = a[0] + b[0], np.array(b[1]) - np.array(a[1])
+    means = np.array(a[1]) + off * (b[0] / n)
+    products = np.array(a[2]) + np.array(b[2]) + np.outer(off, off).ravel() * (a[0] * (b[0] / n))
+    return n, means.tolist(), products.tolist()
+
+
+def _task_moments(batches):
+    """One row (n, means, products) for the rows of a task, none for a task without rows."""
+    found = None
+    for batch in batches:
+        if batch.num_rows:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            rows = np.column_stack((x, batch.column(1).to_numpy(zero_copy_only=False)))
+            means = rows.mean(axis=0)
+            rows -= means
+            found = _merged(found, (len(rows), means.tolist(), (rows.T @ rows).ravel().tolist()))
+    if found:
+        kinds = (pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(found, kinds)], ["n", "means", "products"])
 
 
 class PenalisedLine(NamedTuple):
