@@ -89,18 +89,20 @@ def label_indexes(df: DataFrame, columns, sequential: bool = True) -> dict[str,
     rows whose earlier columns have a value, as encoders that drop null rows one after the other do.
     """
     columns = list(columns)
-    entries, kept = [], F.lit(True)
+    values, kept = [], F.lit(True)
     for i, c in enumerate(columns):
         known = field(c).isNotNull()
-        entries.append(
-            F.when(kept & known, F.struct(F.lit(i).alias("_column"), field(c).cast("string").alias("_value")))
-        )
+        values.append(F.when(kept & known, field(c).cast("string")).alias(f"_value{i}"))
         if sequential:
             kept = kept & known
+    # One set of grouping per column: its bit alone is not set in the grouping id.
+    names, last = [f"_value{i}" for i in range(len(columns))], len(columns) - 1
+    sets = df.select(*values).groupingSets([[F.col(n)] for n in names], *[F.col(n) for n in names])
+    which = " ".join(f"WHEN {(2 << last) - 1 - (1 << last - i)} THEN {i}" for i in range(len(columns)))
     counts = (
-        df.select(F.inline(F.array_compact(F.array(*entries))))
-        .groupBy("_column", "_value")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        sets.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"))
+        .select(F.expr(f"CASE _set {which} END").alias("_column"), F.coalesce(*names).alias("_value"), "_rows")
+        .filter("_value IS NOT NULL")
     )
     ranked = running_totals(counts, [F.col("_column"), F.desc("_rows"), F.col("_value")], out="_place")
     first = ranked.groupBy("_column").agg(F.min("_place").alias("_first"))
