@@ -12,6 +12,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
+from appmetrics.functions import parsing as Q
 from appmetrics.operators import columns as K, evaluation as V, features as E, models as M
 from appmetrics.operators import machines as X, penalised as N
 from appmetrics.plans import preparation as P
@@ -227,3 +228,48 @@ def test_metrics_match_builtin(spark):
     numbers = V.regression_metrics(df).first()
     for m in ("rmse", "mse", "mae", "r2"):
         assert abs(numbers[m] - RegressionEvaluator(metricName=m).evaluate(df)) < 1e-12
+
+
+def test_moments_of_uneven_tasks(spark, monkeypatch):
+    """One pass merges what tasks return: large means take no digits, tasks without rows add nothing."""
+    monkeypatch.setattr(N.F, "covar_pop", None)
+    random = np.random.default_rng(4)
+    table = random.normal(size=(700, 4)) * [1, 1e-3, 5, 2] + [1e6, 3e4, 0, -7]
+    rows = [(i % 3 * i % 5, Vectors.dense(r[:3]), float(r[3])) for i, r in enumerate(table)]
+    odd = [(9, None, 1.0), (9, Vectors.dense([1, 1, 1]), None), (9, Vectors.dense([1, 1, 1]), float("nan"))]
+    df = spark.createDataFrame(rows + odd, ["p", "features", "y"])
+    found = N.moments(df.repartition(7, "p"), "y")
+    assert found.n == 700 and np.allclose(found.means, table.mean(axis=0), rtol=1e-12)
+    assert np.allclose(found.covariances, np.cov(table.T, ddof=0), rtol=1e-8, atol=1e-9)
+
+
+def test_label_indexes_count_without_a_row_per_value(spark, monkeypatch):
+    """Values of all columns are counted by grouping sets; earlier nulls leave a row out only if ``sequential``."""
+    rows = [("a", 1, None), ("b", 2, True), ("b", None, True), (None, 2, False), ("a", 3, True), ("b", 2, False)]
+    df = spark.createDataFrame(rows, "s string, n int, f boolean")
+
+    def found(sequential):
+        tables = E.label_indexes(df, ["s", "n", "f"], sequential)
+        return {c: [r["value"] for r in t.orderBy("index").collect()] for c, t in tables.items()}
+
+    plans, totals = [], E.running_totals
+    monkeypatch.setattr(E, "running_totals", lambda counts, *a, **k: plans.append(counts._jdf.queryExecution().optimizedPlan().toString()) or totals(counts, *a, **k))
+    assert found(True) == found(False) == {"s": ["b", "a"], "n": ["2", "1", "3"], "f": ["true", "false"]}
+    assert [r["value"] for r in E.label_indexes(df, ["f"])["f"].orderBy("index").collect()] == ["true", "false"]
+    assert plans and not any("Generate" in p for p in plans)
+
+
+def test_years_of_plain_and_odd_dates(spark):
+    texts = ["May 21, 2020", "Feb 29, 2020", "Feb 29, 2021", "Feb 30, 2020", "Dec 31, 1970", "Sep 31, 2001", "may 1, 2020", "May 01, 2020"]
+    texts += ["May 1, 2020 ", "May 1, 2020\n", "May 0, 2020", "June 3, 2020", "Jan 1, 20200", "Jan 1, 0999", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    shown = df.select(Q.listing_year("t").alias("year"), F.year(Q.listing_date("t")).alias("want")).collect()
+    assert [r["year"] for r in shown] == [r["want"] for r in shown] and shown[0]["year"] == 2020
+
+
+def test_model_rows_are_written_with_flags_and_years(spark, small, monkeypatch):
+    written, stage = [], P.stage
+    monkeypatch.setattr(P, "stage", lambda df, name: written.append(dict(df.dtypes)) or stage(df, name))
+    P.model_rows(listings(spark, small), "Price")
+    (kinds,) = written
+    assert kinds["Last Updated"] == "int" and {kinds[c] for c in [*P.MODEL_FLAGS, *P.MODEL_PRESENCE]} == {"boolean"}
