@@ -281,8 +281,9 @@ def kmeans_profile(spark, sf_dir):
 @CATALOG.add("CL-3", "CL-13")
 def kmeans_profile_with_rating_value(spark, sf_dir):
     names = ["Size", "Installs", "Rating_Value"]
-    points = K.counted_rows(_shape_frame(spark, sf_dir, rating_value=True), names)
-    return K.cluster_profile(K.kmeans(points, names, 3, seed=1).assign(points), names)
+    df = _shape_frame(spark, sf_dir, rating_value=True)
+    # The seeding, so the numbers of the clusters, depend on where points lie: the fit takes the rows as they come.
+    return K.cluster_profile(K.kmeans(df, names, 3, seed=1).assign(K.counted_rows(df, names)), names)
 
 
 @CATALOG.add("CL-4")
