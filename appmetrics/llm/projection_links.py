@@ -8,27 +8,31 @@ orthonormal directions as dimensions and windows of t / 4 to either side the num
 a pair at the threshold is missed once in ten million.
 
 The first projection is sorted and cut into blocks of equal size, whatever is alike. Blocks further apart on it
-than t cannot link; for the others a task compares two blocks. What a task returns is the number of links of
-each vector and one edge per vector to its group, never the pairs.
+than t cannot link; the others are compared two at a time. A block is one packed row, and a task pairs the blocks of
+two parts of their table as it reads them: nothing is copied for a pair, so what is written and shuffled grows with the
+vectors alone, while the comparisons grow with their square. Collisions are counted in bits, 64 vectors to a word. What a
+task returns is the number of links of each vector and one edge per vector to its group, never the pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import comb, floor, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from appmetrics.functions.scratch import stage
+from appmetrics.llm.batches import bound_batches
 from appmetrics.llm.components import components
 from appmetrics.llm.vectors import directions, matrix, usable
-from appmetrics.operators.ranking import running_totals
 
 DIRECTIONS = 64
 WINDOW_STEPS = 20  # a window's half width in steps of the rounded projections
 BLOCK_ROWS = 2048
-CHUNK_ROWS = 128
+CHUNK_ROWS = 256
 MISSED = 1e-7
 SEED = 9
 
@@ -50,31 +54,72 @@ def calibration(dimension: int, threshold: float, count: int = DIRECTIONS) -> tu
     return used, width, need
 
 
-def collisions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Directions in which rows of ``a`` and ``b`` (rounded projections, modulo 256) lie in each other's windows."""
-    total = np.zeros((len(a), len(b)), np.uint8)
-    step = np.empty((len(a), len(b)), np.uint8)
-    met = np.empty((len(a), len(b)), bool)
-    reach = WINDOW_STEPS + 1
-    columns = np.ascontiguousarray(b.T)
-    for j in range(a.shape[1]):
-        np.subtract((a[:, j] + np.uint8(reach))[:, None], columns[j][None, :], out=step)
-        np.less_equal(step, 2 * reach, out=met)
-        np.add(total, met.view(np.uint8), out=total)
-    return total
+def places(unit: np.ndarray, planes: np.ndarray, width: float) -> np.ndarray:
+    """Rounded projections of unit vectors, modulo 256."""
+    return np.floor((unit @ planes.T + 1) * (WINDOW_STEPS / width)).astype(np.int64).astype(np.uint8)
+
+
+def missed_by(at: np.ndarray) -> np.ndarray:
+    """For each direction and each place, a bit for each row of ``at``: whether the two are not in each other's windows."""
+    reach, every = WINDOW_STEPS + 1, np.arange(256, dtype=np.uint8)[:, None]
+    bits = np.zeros((at.shape[1], 256, -(-len(at) // 64) * 8), np.uint8)
+    for j in range(at.shape[1]):
+        bits[j, :, : -(-len(at) // 8)] = np.packbits((every + np.uint8(reach) - at[None, :, j]) > 2 * reach, axis=1, bitorder="little")
+    return bits.view(np.uint64)
+
+
+def often(table: np.ndarray, at: np.ndarray, misses: int) -> np.ndarray:
+    """A bit for each row of ``at`` and each of ``table`` (``missed_by``): whether they miss in ``misses`` directions at most.
+
+    Each level of ``sums`` is a binary digit of the counts of all pairs; a level adds two rows of bits at a time and
+    hands on what it carries. Counts start so that one miss too many carries out of the last level.
+    """
+    levels, shape = max(1, misses.bit_length()), (len(at), table.shape[2])
+    start, full = 2**levels - 1 - misses, ~np.uint64(0)
+    sums = [np.full(shape, full if start >> k & 1 else np.uint64(0)) for k in range(levels)]
+    held: list[np.ndarray | None] = [None] * levels
+    over, spare = np.zeros(shape, np.uint64), np.empty(shape, np.uint64)
+    for j in range(len(table)):
+        bits = table[j].take(at[:, j], axis=0)
+        for k in range(levels):
+            if held[k] is None:
+                held[k] = bits
+                break
+            total, other, held[k] = sums[k], held[k], None
+            np.bitwise_xor(total, other, out=spare)
+            total &= other
+            np.bitwise_and(spare, bits, out=other)
+            total |= other
+            spare ^= bits
+            sums[k], bits, spare = spare, total, other
+        else:
+            over |= bits
+    carried: list[np.ndarray] = []
+    for k in range(levels):
+        adding, carried = [*carried, *([] if held[k] is None else [held[k]])], []
+        for bits in adding:
+            carried.append(sums[k] & bits)
+            sums[k] = sums[k] ^ bits
+    for bits in carried:
+        over |= bits
+    return ~over
 
 
 def linked(a: np.ndarray, b: np.ndarray, planes: np.ndarray, width: float, need: int, threshold: float) -> np.ndarray:
     """Which rows of ``a`` and ``b`` (unit vectors) have a cosine of ``threshold`` or more."""
-    rounded = [np.floor((x @ planes.T + 1) * (WINDOW_STEPS / width)).astype(np.int64).astype(np.uint8) for x in (a, b)]
+    return _linked(a, b, missed_by(places(a, planes, width)), places(b, planes, width), len(planes) - need, threshold)
+
+
+def _linked(a: np.ndarray, b: np.ndarray, table: np.ndarray, at_b: np.ndarray, misses: int, threshold: float) -> np.ndarray:
     found = np.zeros((len(a), len(b)), bool)
-    for at in range(0, len(a), CHUNK_ROWS):
-        often = collisions(rounded[0][at : at + CHUNK_ROWS], rounded[1]) >= need
-        rows, columns = np.flatnonzero(often.any(axis=1)), np.flatnonzero(often.any(axis=0))
-        if len(rows):
-            inside = np.ix_(rows, columns)
-            exact = a[at + rows] @ b[columns].T >= threshold
-            found[np.ix_(at + rows, columns)] = exact & often[inside]
+    for at in range(0, len(b), CHUNK_ROWS):
+        near = often(table, at_b[at : at + CHUNK_ROWS], misses)
+        some = np.flatnonzero(near.any(axis=1))
+        if len(some):
+            met = np.unpackbits(near[some].view(np.uint8), axis=1, count=len(a), bitorder="little").view(bool)
+            rows = np.flatnonzero(met.any(axis=0))
+            inside = np.ix_(rows, at + some)
+            found[inside] = (a[rows] @ b[at + some].T >= threshold) & met[:, rows].T
     return found
 
 
@@ -112,11 +157,14 @@ def vector_links(
     different lengths do not link. Rows that share an id count as one vector (the least usable one); a null id has a
     row of its own with null component. An empty table gives no rows.
     """
-    rows = stage(usable(table, id_col, vector_col).withColumn("length", F.size("vector")), "vectors")
-    lengths = [r["length"] for r in rows.select("length").distinct().collect()]
+    # Vectors of floats stay floats in the folder, at half the size.
+    kind = table.schema[vector_col].dataType
+    kept = "array<float>" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "array<double>"
+    rows = stage(usable(table, id_col, vector_col).selectExpr("id", f"cast(vector AS {kept}) AS vector", "size(vector) AS length"), "vectors")
+    lengths = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     edges = None
-    for length in sorted(lengths):
-        part = _block_links(rows.filter(F.col("length") == length).drop("length"), length, threshold, block_rows)
+    for length, count in sorted(lengths.items()):
+        part = _block_links(rows.filter(F.col("length") == length).drop("length"), length, count, threshold, block_rows)
         edges = part if edges is None else edges.unionAll(part)
     ids = table.select(F.col(id_col).cast("bigint").alias("id")).distinct()
     if edges is None:
@@ -132,45 +180,74 @@ def vector_links(
     )
 
 
-def _block_links(rows: DataFrame, length: int, threshold: float, block_rows: int) -> DataFrame:
+def _block_links(rows: DataFrame, length: int, count: int, threshold: float, block_rows: int) -> DataFrame:
     """(id, links, root): links found in each comparison of two blocks, and a member of the same group."""
     used, width, need = calibration(length, threshold)
     planes = directions(length, used, SEED)
-    norm = "sqrt(aggregate(vector, 0D, (s, x) -> s + x * x))"
+    kind = np.float32 if isinstance(rows.schema["vector"].dataType.elementType, FloatType) else np.float64
+
+    def units(vectors: np.ndarray) -> np.ndarray:
+        doubles = vectors.astype(np.float64)
+        return doubles / np.sqrt((doubles**2).sum(axis=1))[:, None]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in the order of ``along`` as blocks; the first id names a block."""
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def packed(ids, vectors, along):
+            at = places(units(vectors), planes, width)
+            cells = [[ids[0]], [along.min()], [along.max()], *([x.tobytes()] for x in (ids, vectors, at))]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["block", "low", "high", "ids", "vectors", "places"])
+
+        for batch in batches:
+            held.append((np.asarray(batch["id"]), matrix(batch["vector"]).astype(kind), np.asarray(batch["along"])))
+            if sum(len(h[0]) for h in held) >= block_rows:
+                whole = [np.concatenate(c) for c in zip(*held)]
+                full = len(whole[0]) // block_rows * block_rows
+                for i in range(0, full, block_rows):
+                    yield packed(*[c[i : i + block_rows] for c in whole])
+                held = [tuple(c[full:] for c in whole)]
+        if sum(len(h[0]) for h in held):
+            yield packed(*[np.concatenate(c) for c in zip(*held)])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, unit_a, table = None, None, None
+        for batch in batches:
+            for r in batch.to_pylist():
+                ids = [np.frombuffer(r[f"ids_{s}"], np.int64) for s in "ab"]
+                vectors = [np.frombuffer(r[f"vectors_{s}"], kind).reshape(-1, length) for s in "ab"]
+                if r["block_a"] != last:  # a task's pairs come with the same first block one after the other
+                    last, unit_a = r["block_a"], units(vectors[0])
+                    table = missed_by(np.frombuffer(r["places_a"], np.uint8).reshape(-1, used))
+                same = r["block_a"] == r["block_b"]
+                unit_b = unit_a if same else units(vectors[1])
+                found = _linked(unit_a, unit_b, table, np.frombuffer(r["places_b"], np.uint8).reshape(-1, used), used - need, threshold)
+                if same:
+                    found |= found.T
+                    np.fill_diagonal(found, False)
+                if not found.any():
+                    continue
+                at_rows, at_columns = groups(found, same)
+                both = ids[0] if same else np.concatenate(ids)
+                parts = [(ids[0], found.sum(axis=1), both[at_rows])]
+                if not same:
+                    parts.append((ids[1], found.sum(axis=0), both[at_columns]))
+                got = [np.concatenate([p[i][p[1] > 0] for p in parts]).astype(np.int64) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(g) for g in got], ["id", "links", "root"])
+
+    norm = "sqrt(aggregate(double_, 0D, (s, x) -> s + x * x))"
     first = ", ".join(f"{w!r}D" for w in planes[0].tolist())
-    along = f"aggregate(zip_with(vector, array({first}), (x, w) -> x * w), 0D, (s, x) -> s + x) / {norm}"
-    sorted_ = running_totals(rows.selectExpr("id", "vector", f"{along} AS along"), [F.col("along"), F.col("id")])
-    dealt = stage(sorted_.selectExpr("id", "vector", "along", f"cast((running_total - 1) DIV {block_rows} AS int) AS block"), "blocks")
-    # One row per block: the last block that starts within reach of any block's end.
-    bounds = dealt.groupBy("block").agg(F.min("along").alias("low"), F.max("along").alias("high"))
+    along = f"aggregate(zip_with(double_, array({first}), (x, w) -> x * w), 0D, (s, x) -> s + x) / {norm}"
+    placed = rows.selectExpr("id", "vector", "cast(vector AS array<double>) AS double_").selectExpr("id", "vector", f"{along} AS along")
+    # As many parts as tasks can take side by side, but with several blocks in each where there are many.
+    side_by_side = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(-(-count // block_rows), max(side_by_side, count // (8 * block_rows))))
+    sorted_ = placed.repartitionByRange(parts, "along", "id").sortWithinPartitions("along", "id")
+    bound_batches(rows.sparkSession)
+    blocks = stage(sorted_.mapInArrow(pack, "block bigint, low double, high double, ids binary, vectors binary, places binary"), "blocks")
+    # Blocks further apart than the reach cannot link. Pairs are formed where the two parts are read, without a shuffle.
     reach = sqrt(2 - 2 * threshold) + 1e-6
-    widest = bounds.agg(F.max(F.expr("high - low"))).first()[0] or 0.0
-    pairs = stage(
-        bounds.selectExpr(
-            "block AS a", f"max(block) OVER (ORDER BY low RANGE BETWEEN CURRENT ROW AND {widest + reach!r}D FOLLOWING) AS last"
-        ).selectExpr("a", "explode(sequence(a, last)) AS b"),
-        "pairs",
-    )
-    left = dealt.join(pairs, F.col("block") == F.col("a")).selectExpr("a", "b", "true AS first", "id", "vector")
-    right = dealt.join(pairs.filter("a < b"), F.col("block") == F.col("b")).selectExpr("a", "b", "false AS first", "id", "vector")
-
-    def compare(group: pa.Table) -> pa.Table:
-        first = np.asarray(group["first"])
-        ids, vectors = np.asarray(group["id"]), matrix(group["vector"])
-        unit = vectors / np.sqrt((vectors**2).sum(axis=1))[:, None]
-        same = bool(first.all())
-        a, b = (ids, ids) if same else (ids[first], ids[~first])
-        found = linked(unit if same else unit[first], unit if same else unit[~first], planes, width, need, threshold)
-        if same:
-            np.fill_diagonal(found, False)
-        at_rows, at_columns = groups(found, same)
-        both = np.concatenate((a, b))
-        n_rows, n_columns = found.sum(axis=1), found.sum(axis=0)
-        parts = [(a, n_rows, both[at_rows])]
-        if not same:
-            parts.append((b, n_columns, both[at_columns]))
-        some = [n > 0 for _, n, _ in parts]
-        got = [np.concatenate([p[i][s] for p, s in zip(parts, some)]).astype(np.int64) for i in range(3)]
-        return pa.table({"id": got[0], "links": got[1], "root": got[2]})
-
-    return left.unionAll(right).groupBy("a", "b").applyInArrow(compare, "id bigint, links bigint, root bigint")
+    a, b = (blocks.select(*[F.col(c).alias(f"{c}_{s}") for c in blocks.columns]) for s in "ab")
+    near = f"block_a <= block_b AND low_b <= high_a + {reach!r}D AND low_a <= high_b + {reach!r}D"
+    pairs = a.join(b, F.expr(near)).select("block_a", "ids_a", "vectors_a", "places_a", "block_b", "ids_b", "vectors_b", "places_b")
+    return pairs.mapInArrow(compare, "id bigint, links bigint, root bigint")

@@ -153,6 +153,33 @@ def test_op9_matches_brute_force(spark):
     assert got == {i: (n, least[i], least[i] == i) for i, n in zip(ids, count)}
 
 
+def test_vector_links_copy_no_vectors_for_pairs_of_blocks(spark, monkeypatch):
+    """What is compared is paired where it is read: no shuffle of vectors for each pair of blocks."""
+    plans = {}
+
+    def seen(df, name, write=projection_links.stage):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(projection_links, "stage", seen)
+    points = np.random.default_rng(4).normal(size=(600, 16))
+    points[300:] = points[:300]
+    got = projection_links.vector_links(vectors(spark, list(enumerate(points.tolist()))), block_rows=32).collect()
+    assert sorted((r.id, r.component) for r in got) == [(i, i % 300) for i in range(600)]
+    assert "hashpartitioning" not in plans["links"] and "rangepartitioning" not in plans["links"]
+
+
+def test_collisions_are_counted_in_bits():
+    random = np.random.default_rng(5)
+    for used, rows, misses in ((1, 3, 0), (4, 70, 4), (64, 130, 15), (64, 64, 16), (7, 200, 3)):
+        a, b = random.integers(0, 256, (rows, used), np.uint8), random.integers(0, 256, (50, used), np.uint8)
+        a[:50:2] = b[: len(a[:50:2])]
+        apart = np.abs(a[None].astype(int) - b[:, None])
+        missed = (np.minimum(apart, 256 - apart) > projection_links.WINDOW_STEPS + 1).sum(axis=2)
+        bits = projection_links.often(projection_links.missed_by(a), b, misses)
+        assert (np.unpackbits(bits.view(np.uint8), axis=1, count=rows, bitorder="little") == (missed <= misses)).all()
+
+
 @pytest.mark.parametrize("dimension", [4, 16, 64, 300])
 def test_no_pair_at_the_threshold_is_missed(dimension):
     random = np.random.default_rng(dimension)
